@@ -148,17 +148,20 @@ SELECT source AS login, lang AS type, sum(n_chars) AS total FROM documents GROUP
 }
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Test tables and derived views as frames by name."""
-    return {name: view(spark, sf_dir, name) for name in (*TABLES, *VIEWS)}
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table or derived view."""
-    for table, columns in TABLES.items():
-        schema = ", ".join(f"{c} {t}" for c, t in columns.items())
-        spark.read.schema(schema).parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    return spark.sql(with_views(f"SELECT * FROM {name}", name))
+    if name in TABLES:
+        return _table(spark, sf_dir, name)
+    sql = with_views(f"SELECT * FROM {name}", name)
+    for table in TABLES:
+        if _mentions(sql, table):
+            _table(spark, sf_dir, table).createOrReplaceTempView(table)
+    return spark.sql(sql)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = ", ".join(f"{c} {t}" for c, t in TABLES[name].items())
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def with_views(body: str, *names: str, recursive: bool = False, extra: dict[str, str] | None = None) -> str:

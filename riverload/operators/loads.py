@@ -243,7 +243,7 @@ def _fixed_zero(rows: DataFrame, label: str) -> DataFrame:
 
 def _bit(code: Column) -> Column:
     position = F.array_position(F.array(*[F.lit(p) for p in POLLUTANTS]), code)
-    return F.shiftleft(F.lit(1), position.cast("int"))
+    return F.call_function("shiftleft", F.lit(1), position.cast("int"))
 
 
 def _has_bit(flags: str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riverload.fixed_values import STOP_TYPES, TYPE_DISCHARGE
@@ -47,24 +47,16 @@ def upstream_walk(
     found = [stages.write(
         null_safe_join(start, upstream, [("identifiant", "up")])
         .withColumn("depth", F.lit(0)), "pass-0")]
-    frontier = found[0]
-    depth = 0
-    while not frontier.isEmpty():
+    frontier, depth, more = found[0], 0, True
+    while more:
         depth += 1
         if depth > max_passes:
             raise RuntimeError(f"the walk did not end within {max_passes} passes")
-        reached = (null_safe_join(frontier.select("seed", "identifiant"), edges,
-                                  [("identifiant", "down")])
-                   .select("seed", F.col("up").alias("identifiant"), "No_Type_Sitou")
-                   .distinct())
-        known = _all_passes(found).select(F.col("seed").alias("_seed"), F.col("identifiant").alias("_id"))
-        new = stages.write(
-            null_safe_join(reached, known, [("seed", "_seed"), ("identifiant", "_id")], "left_anti")
-            .withColumn("depth", F.lit(depth)),
-            f"pass-{depth}")
+        reached = (null_safe_join(frontier.select("seed", "identifiant"), edges, [("identifiant", "down")])
+                   .select("seed", F.col("up").alias("identifiant"), "No_Type_Sitou"))
+        new, more = _write_new(stages, depth, _all_passes(found), reached, stop_types)
         found.append(new)
-        # A missing type is no stop type.
-        frontier = new.where(~F.coalesce(F.col("No_Type_Sitou").isin(*stop_types), F.lit(False)))
+        frontier = new.where(_passable(stop_types))
     return _all_passes(found)
 
 
@@ -126,6 +118,31 @@ def enrich_origins(
     return with_office.select("DT", "rang", "site_origine", "nom_site_origine", "rejet", "nom_rejet")
 
 
+def _write_new(
+    stages: Stages, depth: int, known: DataFrame, reached: DataFrame, stop_types: list[str]
+) -> tuple[DataFrame, bool]:
+    """Write the reached sites that are not known yet; tell whether any can be passed.
+
+    One aggregate removes repeats and known sites together, combined before its
+    shuffle. The count of passable sites comes with the write, without another job.
+    """
+    keys = ["seed", "identifiant", "No_Type_Sitou"]
+    new = (known.select(*keys, F.lit(True).alias("known"))
+           .union(reached.select(*keys, F.lit(False)))
+           .groupBy(*keys).agg(F.bool_or("known").alias("known"))
+           .where(~F.col("known"))
+           .select(*keys, F.lit(depth).alias("depth")))
+    passable = Observation()
+    written = stages.write(
+        new.observe(passable, F.count_if(_passable(stop_types)).alias("n")), f"pass-{depth}")
+    return written, passable.get["n"] > 0
+
+
+def _passable(stop_types: list[str]):
+    # A missing type is no stop type.
+    return ~F.coalesce(F.col("No_Type_Sitou").isin(*stop_types), F.lit(False))
+
+
 def _all_passes(found: list[DataFrame]) -> DataFrame:
     result = found[0]
     for frame in found[1:]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from riverload.queries import cleaning, network
+from riverload.queries import cleaning, loads, network, perimeter
 from riverload.queries.registry import Query
 
-_MODULES = (cleaning, network)
+_MODULES = (cleaning, network, loads, perimeter)
 
 
 def all_queries() -> dict[str, Query]:

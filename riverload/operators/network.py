@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riverload.fixed_values import STOP_TYPES, TYPE_DISCHARGE
-from riverload.functions.joins import null_safe_join
+from riverload.functions.joins import members, null_safe_join
 from riverload.stages import Stages
 
 
@@ -42,11 +42,10 @@ def upstream_walk(
             links.select(F.col("No_Sitou").alias("down"), F.col("No_Sitou_Am").alias("up")).distinct(),
             upstream, "up"),
         "edges")
-    start = (seeds.where(F.col("identifiant").isNotNull())
-             .select(F.col("identifiant").alias("seed"), "identifiant").distinct())
+    start = members(upstream.where(F.col("up").isNotNull()), "up", seeds, "identifiant")
     found = [stages.write(
-        null_safe_join(start, upstream, [("identifiant", "up")])
-        .withColumn("depth", F.lit(0)), "pass-0")]
+        start.select(F.col("up").alias("seed"), F.col("up").alias("identifiant"), "No_Type_Sitou",
+                     F.lit(0).alias("depth")), "pass-0")]
     frontier, depth, more = found[0], 0, True
     while more:
         depth += 1

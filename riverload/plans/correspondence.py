@@ -9,11 +9,12 @@ from riverload.operators.cleaning import prepare_links, prepare_nodes
 from riverload.stages import Stages
 
 
-def origins_of_discharges(sites: DataFrame, links: DataFrame, rank: str = "passes") -> DataFrame:
-    """Every discharge point with its origins; ``sites`` and ``links`` as read."""
-    nodes, offices = prepare_nodes(sites)
+def origins_of_discharges(
+    nodes: DataFrame, offices: DataFrame, links: DataFrame, rank: str = "passes"
+) -> DataFrame:
+    """Every discharge point with its origins, from prepared nodes, offices and links."""
     seeds = network.discharge_points(nodes)
-    walk = network.upstream_walk(nodes, prepare_links(links), seeds)
+    walk = network.upstream_walk(nodes, links, seeds)
     ranked = network.origin_rank(walk, rank)
     # All ranks of a discharge point are equal with "passes": nothing to prune.
     kept = network.prune_farthest(ranked) if rank == "hops" else ranked
@@ -29,9 +30,9 @@ def correspondence_table(
     joins, so both are written once.
     """
     stages = Stages(sites.sparkSession, "correspondence")
-    nodes, _ = prepare_nodes(sites)
+    nodes, offices = prepare_nodes(sites)
     clean_links = stages.write(prepare_links(links), "links")
-    origins = stages.write(origins_of_discharges(sites, links, rank), "origins")
+    origins = stages.write(origins_of_discharges(nodes, offices, clean_links, rank), "origins")
     paired = monitoring.correspondence(
         monitoring.monitoring_plant(origins, plant_points),
         monitoring.monitoring_sewer(origins, clean_links, nodes),

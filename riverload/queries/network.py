@@ -96,7 +96,8 @@ class Network(Input):
         return network.upstream_walk(nodes, links, seeds)
 
     def origins(self) -> DataFrame:
-        return plans.origins_of_discharges(self.site, self.link)
+        nodes, offices, links, _ = self.prepared()
+        return plans.origins_of_discharges(nodes, offices, links)
 
     def correspondence(self) -> DataFrame:
         return plans.correspondence_table(self.site, self.link, self.plant_points)

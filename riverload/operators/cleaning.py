@@ -45,11 +45,11 @@ def fill_from_lookup(
     Missing keys never match here.
     """
     first = (lookup.where(F.col(lookup_key).isNotNull())
-             .groupBy(F.col(lookup_key).alias("_key"))
+             .groupBy(lookup_key)
              .agg(F.min(F.struct(F.col(order), F.col(lookup_column).alias("value"))).alias("_first")))
-    joined = df.join(first, F.col(key) == F.col("_key"), "left")
-    return (joined.withColumn(column, F.coalesce(F.col(column), F.col("_first.value")))
-            .drop("_key", "_first"))
+    return (null_safe_join(df, first, [(key, lookup_key)], "left")
+            .withColumn(column, F.coalesce(F.col(column), F.col("_first.value")))
+            .drop("_first"))
 
 
 def duplicate_report(df: DataFrame, keys: Iterable[str]) -> DataFrame:

@@ -77,7 +77,7 @@ def origin_rank(
         raise ValueError(f"rank must be 'passes' or 'hops', not {rank!r}")
     # Aggregated before the shuffle, where a window would gather a whole seed.
     passes = walk.groupBy("seed").agg((F.max("depth") + 1).alias("rang"))
-    return candidates.join(passes, "seed")
+    return null_safe_join(candidates, passes, "seed")
 
 
 def prune_farthest(
@@ -87,12 +87,12 @@ def prune_farthest(
 
     With rank ``passes`` all ranks of a seed are equal and nothing is dropped.
     """
-    limits = ranked.groupBy(F.col("seed").alias("_seed")).agg(
+    limits = ranked.groupBy("seed").agg(
         F.max("rang").alias("_far"), F.min("rang").alias("_near"),
         F.count_if(F.col("No_Type_Sitou").isin(*stop_types)).alias("_origins"))
     drop = ((F.col("_origins") > 1) & (F.col("_near") < F.col("_far"))
             & (F.col("rang") == F.col("_far")))
-    return (ranked.join(limits, F.col("seed") == F.col("_seed"))
+    return (null_safe_join(ranked, limits, "seed")
             .where(~drop).select(*ranked.columns))
 
 

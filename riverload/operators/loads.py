@@ -161,7 +161,7 @@ def plant_daily_loads(
     measures: DataFrame, params: DataFrame, attributes: Iterable[str] = PLANT_ATTRIBUTES
 ) -> DataFrame:
     """Daily loads of plants from cleaned measures: measured days and imputed days."""
-    days, conc = _flow_and_concentrations(measures, params, attributes)
+    days, conc = flow_and_concentrations(measures, params, attributes)
     measured = measured_load(days, conc, params, LABEL_MEASURED_PLANT)
     imputed = impute_plant_load(flagged_days(days, conc), flow_weighted_ratio(measured), params)
     return assemble_daily(measured, imputed)
@@ -172,7 +172,7 @@ def network_daily_loads(
     as_written: bool = True,
 ) -> DataFrame:
     """Daily loads of networks: measured days, days without flow, days to estimate."""
-    days, conc = _flow_and_concentrations(measures, params, attributes)
+    days, conc = flow_and_concentrations(measures, params, attributes)
     flagged = flagged_days(days, conc)
     return assemble_daily(
         measured_load(days, conc, params, LABEL_MEASURED_NETWORK),
@@ -219,7 +219,10 @@ def needed_measures(measures: DataFrame) -> DataFrame:
         F.col("Code_sandre_parametre").isin(PARAM_FLOW, PARAM_VOLUME, *POLLUTANTS))
 
 
-def _flow_and_concentrations(measures, params, attributes) -> tuple[DataFrame, DataFrame]:
+def flow_and_concentrations(
+    measures: DataFrame, params: DataFrame, attributes: Iterable[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Flow days and concentrations of the discharge points in cleaned measures."""
     attributes = list(attributes)
     rows = discharge_measures(measures)
     return flow_days(daily_flow(rows, attributes), attributes), concentrations(rows, params)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverload.fixed_values import (
-    KIND_NETWORK, KIND_PLANT, NETWORK_ATTRIBUTES, PLANT_ATTRIBUTES,
+    KIND_NETWORK, KIND_PLANT, LABEL_MEASURED_PLANT, NETWORK_ATTRIBUTES, PLANT_ATTRIBUTES,
 )
 from riverload.operators import loads
 from riverload.operators.cleaning import clean_measures
@@ -29,8 +29,18 @@ def prepared_measures(measures: DataFrame, kind: str) -> DataFrame:
 
 
 def plant_daily(measures: DataFrame, params: DataFrame) -> DataFrame:
-    """Daily loads of plants."""
-    return loads.plant_daily_loads(prepared_measures(measures, KIND_PLANT), params)
+    """Daily loads of plants.
+
+    The measured days are output and also the base of the ratios: written once,
+    instead of joining flow and concentrations twice.
+    """
+    cleaned = prepared_measures(measures, KIND_PLANT)
+    days, conc = loads.flow_and_concentrations(cleaned, params, PLANT_ATTRIBUTES)
+    measured = Stages(measures.sparkSession, "loads").write(
+        loads.measured_load(days, conc, params, LABEL_MEASURED_PLANT), "measured")
+    ratio = loads.flow_weighted_ratio(measured)
+    imputed = loads.impute_plant_load(loads.flagged_days(days, conc), ratio, params)
+    return loads.assemble_daily(measured, imputed)
 
 
 def network_daily(measures: DataFrame, params: DataFrame, as_written: bool = True) -> DataFrame:

@@ -1,13 +1,12 @@
 """Tables written between steps, so that iterations keep a short lineage.
 
-Stages live under the shared folder named by ``spark.checkpoint.dir``. Written
-files survive the loss of executors and give the planner true sizes.
+Stages live under the shared folder named by ``spark.checkpoint.dir``, or else
+under the session's warehouse, which is shared wherever a cluster is set up.
+Written files survive the loss of executors and give the planner true sizes.
 """
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,19 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def stage_root(spark: SparkSession) -> str:
-    """Shared folder for stages; a private one only for a local session without setting."""
+    """Shared folder for stages."""
     root = spark.sparkContext.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    return _local_root()
+    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
 class Stages:
@@ -42,3 +32,9 @@ class Stages:
         target = f"{self.path}/{name}"
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that no live frame reads any more."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

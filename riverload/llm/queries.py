@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverload.llm import chat_format, url_filters
+from riverload.llm import chat_format, pii, token_counts, url_filters
 from riverload.queries.registry import Registry
 
 registry = Registry()
 
 URL_RULES = "('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')"
 
+#: Folder of the public tokenizers' files; not part of this repository.
+TOKENIZERS = "/opt/tokenizers"
+
 ODD_TURN = "</s>[INST] ok [/INST]"
 
 
@@ -74,3 +77,27 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL."""
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules(host, path, action)")
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@registry.add()
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, plain and disguised."""
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.personal_spans("text").alias("found"))
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("found", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(told(F.filter("found", lambda s: s["base"])), 256).alias("base_sha256"),
+        told(F.col("found")).alias("spans"))
+
+
+@registry.add()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under a unigram reading of a public vocabulary."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", token_counts.token_count(
+            "text", token_counts.ranked_vocabulary, f"{TOKENIZERS}/piece_bpe_32k.model").alias("n_tokens"),
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverload.llm import chat_format, pii, token_counts, url_filters
+from riverload.llm import chat_format, pii, quality, token_counts, url_filters
 from riverload.queries.registry import Registry
 
 registry = Registry()
@@ -84,12 +84,15 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, plain and disguised."""
     found = table(spark, sf_dir, "documents").select("doc_id", pii.personal_spans("text").alias("found"))
 
+    def number(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
     def told(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     return found.select(
         "doc_id",
-        *[F.size(F.filter("found", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        *[number(kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(told(F.filter("found", lambda s: s["base"])), 256).alias("base_sha256"),
         told(F.col("found")).alias("spans"))
 
@@ -101,3 +104,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", token_counts.token_count(
             "text", token_counts.ranked_vocabulary, f"{TOKENIZERS}/piece_bpe_32k.model").alias("n_tokens"),
         F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"))
+
+
+GOOD_FROM = 0.3
+
+
+@registry.add()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    field = quality.fit_field(docs, quality.train_rows(table(spark, sf_dir, "labels")))
+    return docs.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+        quality.quality_score("text", field).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= GOOD_FROM).cast("int"))

@@ -78,3 +78,20 @@ def test_column(spark):
         (str(i), [("email", 0, 5, True)] if t else []) for i, t, _ in rows)
     assert df.limit(0).select(personal_spans("text")).count() == 0
     assert KINDS == ("email", "ip", "card", "phone")
+
+
+def test_query_against_plain_patterns(spark):
+    import hashlib
+
+    import __spark_entry__ as contract
+
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in contract.queries()["op9_pii"](spark, sf).collect()}
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        base = sorted(brute(text), key=lambda s: (s[1], KINDS.index(s[0])))
+        told = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert got[i].base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert set(told.split(",")) <= set(got[i].spans.split(","))
+        assert [got[i][f"n_{k}"] for k in KINDS] == [got[i].spans.count(f"{k}:") for k in KINDS]

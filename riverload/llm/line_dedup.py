@@ -81,7 +81,8 @@ def drop_shared_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20,
     total = F.aggregate(split, F.lit(0).cast("long"), lambda n, x: n + F.length(F.trim(x)))
     boiler = F.col("_found").isNotNull() & (F.col("_found.chars") < copy_share * total)
     rest = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_found.places"))
-    cleaned = F.array_join(F.transform(rest, lambda i: F.element_at(split, i + 1)), "\n")
+    # The outer transform binds the split lines to a variable, so that they are split once and not for each line.
+    cleaned = F.transform(F.array(split), lambda s: F.array_join(F.transform(rest, lambda i: F.element_at(s, i + 1)), "\n"))[0]
     n_shared = F.coalesce(F.size("_found.places"), F.lit(0)).cast("long")
     n_shared = F.when(F.col("_found").isNull(), F.lit(0).cast("long")).otherwise(n_shared)
     return joined.select(

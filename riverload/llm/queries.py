@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverload.llm import chat_format, line_dedup, pii, quality, simhash, token_counts, url_filters
+from riverload.llm import chat_format, line_dedup, packing, pii, quality, simhash, token_counts, url_filters
 from riverload.queries.registry import Registry
 
 registry = Registry()
@@ -146,3 +146,15 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def bpe_encoder(folder: str) -> packing.Encoder:
+    """The byte-level BPE of 50,257 ids; its word pattern is a fixed value of that vocabulary."""
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    return packing.Encoder(f"{folder}/byte_bpe_50k.json", f"{folder}/byte_bpe_50k.tiktoken", pattern)
+
+
+@registry.add()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), bpe_encoder, TOKENIZERS)

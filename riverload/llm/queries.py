@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverload.llm import chat_format, line_dedup, packing, pii, quality, simhash, token_counts, url_filters
+from riverload.llm import (
+    chat_format, decontaminate, line_dedup, packing, pii, quality, simhash, token_counts, topk, url_filters,
+)
 from riverload.queries.registry import Registry
 
 registry = Registry()
@@ -158,3 +160,26 @@ def bpe_encoder(folder: str) -> packing.Encoder:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), bpe_encoder, TOKENIZERS)
+
+
+@registry.add("""
+WITH v AS (
+ SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+ SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+ FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors for every fiftieth."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@registry.add()
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test item that stands in a document."""
+    hits = decontaminate.leaks("text", table(spark, sf_dir, "benchmark"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(hits).alias("hit")).select("doc_id", "hit.*")

@@ -74,18 +74,18 @@ def drop_shared_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20,
                      F.aggregate("found", F.lit(0).cast("long"), lambda n, x: n + x["chars"]).alias("chars")))
     added = ("shared_lines", "removed_lines", "removed_chars")
     kept = docs.drop(*added)
-    joined = kept.withColumn("_row_key", key).join(
-        found.select(F.struct("*").alias("_found")),
-        (F.col("_row_key") == F.col("_found.row_key")) & F.col("doc_id").eqNullSafe(F.col("_found.row_id")), "left")
+    joined = kept.withColumn("__line_dedup_key", key).join(
+        found.select(F.struct("*").alias("__line_dedup_found")),
+        (F.col("__line_dedup_key") == F.col("__line_dedup_found.row_key")) & F.col("doc_id").eqNullSafe(F.col("__line_dedup_found.row_id")), "left")
     split = F.split(F.col(text), "\n")
     total = F.aggregate(split, F.lit(0).cast("long"), lambda n, x: n + F.length(F.trim(x)))
-    boiler = F.col("_found").isNotNull() & (F.col("_found.chars") < copy_share * total)
-    rest = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_found.places"))
+    boiler = F.col("__line_dedup_found").isNotNull() & (F.col("__line_dedup_found.chars") < copy_share * total)
+    rest = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__line_dedup_found.places"))
     # The outer transform binds the split lines to a variable, so that they are split once and not for each line.
     cleaned = F.transform(F.array(split), lambda s: F.array_join(F.transform(rest, lambda i: F.element_at(s, i + 1)), "\n"))[0]
-    n_shared = F.coalesce(F.size("_found.places"), F.lit(0)).cast("long")
-    n_shared = F.when(F.col("_found").isNull(), F.lit(0).cast("long")).otherwise(n_shared)
+    n_shared = F.coalesce(F.size("__line_dedup_found.places"), F.lit(0)).cast("long")
+    n_shared = F.when(F.col("__line_dedup_found").isNull(), F.lit(0).cast("long")).otherwise(n_shared)
     return joined.select(
         *[F.when(boiler, cleaned).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in kept.columns],
         n_shared.alias("shared_lines"), F.when(boiler, n_shared).otherwise(0).alias("removed_lines"),
-        F.when(boiler, F.col("_found.chars")).otherwise(0).alias("removed_chars"))
+        F.when(boiler, F.col("__line_dedup_found.chars")).otherwise(0).alias("removed_chars"))

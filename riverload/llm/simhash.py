@@ -98,12 +98,34 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3, segments: in
 
     The fingerprints are written once; everything after works on distinct ones.
     """
-    stages = Stages(docs.sparkSession, "simhash")
-    rows = stages.write(docs.select(F.col(id_column).alias("doc_id"), fingerprint("text", words).alias("print")), "prints")
+    return _grouped(docs.select(F.col(id_column).alias("doc_id"), fingerprint("text", words).alias("print")), bits, segments).select(
+        "doc_id", F.col("print").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3, bits: int = 3, segments: int = 2, id_column: str = "doc_id") -> DataFrame:
+    """Of each group of near duplicates one row of ``docs``, with all its columns.
+
+    The one with the smallest id stays, a missing id counting as the largest; rows of
+    one group that share this id are told apart by a hash of the text, and of equal
+    rows any one stays.
+    """
+    hashes = [F.xxhash64(F.col(id_column), "text"), F.xxhash64(F.lit(1), F.col(id_column), "text")]
+    names = ["__simhash_row", "__simhash_check"]
+    printed = docs.select(F.col(id_column).alias("doc_id"), fingerprint("text", words).alias("print"), *[h.alias(n) for h, n in zip(hashes, names)])
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", *names)
+    firsts = (_grouped(printed, bits, segments).groupBy("component").agg(F.min(order).alias("least"))
+              .select(*[F.col(f"least.{n}").alias(n) for n in names]))
+    # The rows lie by these hashes after the join already, so dropping repeats moves nothing.
+    return docs.withColumns(dict(zip(names, hashes))).join(firsts, names, "left_semi").dropDuplicates(names).select(docs.columns)
+
+
+def _grouped(printed: DataFrame, bits: int, segments: int) -> DataFrame:
+    """``printed`` (``doc_id, print`` and more) with ``component``, its smallest print, and ``component_id``."""
+    stages = Stages(printed.sparkSession, "simhash")
+    rows = stages.write(printed, "prints")
     classes = stages.write(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "classes")
     joined = components(links(classes.select("print"), bits, segments), stages)
     labelled = classes.join(joined.withColumnRenamed("node", "print"), "print", "left").select(
         "print", "least", F.coalesce("component", "print").alias("component"))
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = labelled.join(smallest, "component").select("print", "component_id")
-    return rows.join(of_print, "print").select("doc_id", F.col("print").alias("fingerprint"), "component_id")
+    return rows.join(labelled.join(smallest, "component").select("print", "component", "component_id"), "print")

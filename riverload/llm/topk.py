@@ -5,8 +5,9 @@ every block of candidates in one row of an equi-join on the pair of block number
 so that pairs spread evenly over tasks. Within a pair each dimension has its list of
 candidates sorted by component. A query reads all lists from its favourable end in
 parallel, scores what is new, and stops when the sum of the last read components,
-which bounds every candidate not yet seen, is below its kth best score. The best of
-all blocks are ranked per query, at most k from each block.
+which bounds every candidate not yet seen, is below its kth best score. A task that
+has searched other blocks for the same queries starts from the kth score of those.
+The best of all blocks are ranked per query, at most k from each block.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from riverload.stages import Stages
 
 #: Vectors in a block of queries and of candidates.
 QUERIES, CANDIDATES = 1024, 4096
+#: Entries read from every list in the first round; how much deeper each next round may go.
+FIRST_DEPTH, DEEPER = 16, 4
 #: Sums below this are exact in doubles.
 EXACT = 2.0**53
 
@@ -65,37 +68,61 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(vectors, self.order, axis=0)
+        lists = np.ascontiguousarray(vectors.T)
+        self.order = np.argsort(lists, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(lists, self.order, axis=1)
 
-    def top(self, own: int, query: np.ndarray, k: int) -> tuple[list[int], list, int]:
-        """Ids and scores of the best k but the query's own, ties to the smaller id; how many were scored."""
+    def _stop(self, query: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int, floor) -> int:
+        """Smallest depth from ``depth`` on at which no unread candidate reaches ``floor``."""
         n = len(self.ids)
-        dims = np.flatnonzero(query)
-        q, up = query[dims], query[dims] > 0
-        seen = np.zeros(n, bool)
+        if floor is None:
+            return n
+        low, high = depth, n
+        while low < high:
+            middle = (low + high) // 2
+            bound = (self.sorted[up, n - middle] * query[up]).sum() + (self.sorted[down, middle - 1] * query[down]).sum()
+            low, high = (low, middle) if bound < floor else (middle + 1, high)
+        return low
+
+    def top(self, own: int, query: np.ndarray, k: int, floor=None) -> tuple[list[int], list, int]:
+        """Ids and scores of the best k but the query's own, ties to the smaller id; how many were read.
+
+        With ``floor``, a score that k other candidates reach, only those of at least
+        that score. Lists are read in rounds; the bound says how deep the kth score
+        found so far still requires, and a round goes no deeper.
+        """
+        n = len(self.ids)
+        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        seen = np.full(n, not len(up) and not len(down))
+        done = np.zeros(n, bool)
         ids, scores = np.empty(0, np.int64), np.empty(0, self.vectors.dtype)
-        read, depth = 0, 1
+        read, depth = 0, min(n, FIRST_DEPTH)
+        if floor is not None:
+            depth = self._stop(query, up, down, 1, floor)
         while True:
-            if len(dims):
-                at = np.where(up[None, :], n - 1 - np.arange(read, depth)[:, None], np.arange(read, depth)[:, None])
-                new = np.unique(self.order[at, dims[None, :]])
-                new = new[~seen[new]]
+            seen[self.order[up, n - depth:n - read]] = True
+            seen[self.order[down, read:depth]] = True
+            new = np.flatnonzero(seen & ~done)
+            done[new] = True
+            if len(new) * 4 > n:  # one product over all is faster than gathering the rows read
+                found = (self.vectors @ query)[new]
             else:
-                new = np.arange(n)
-            seen[new] = True
-            new = new[self.ids[new] != own]
-            ids = np.concatenate([ids, self.ids[new]])
-            scores = np.concatenate([scores, self.vectors[new][:, dims] @ q if len(dims) else np.zeros(len(new), scores.dtype)])
+                found = self.vectors[new] @ query
+            keep = self.ids[new] != own
+            if floor is not None:
+                keep &= (found >= floor).astype(bool)
+            ids, scores = np.concatenate([ids, self.ids[new[keep]]]), np.concatenate([scores, found[keep]])
+            if len(ids) > k and scores.dtype != object:
+                keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                ids, scores = ids[keep], scores[keep]
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
-            if depth >= n or not len(dims):
-                break
-            bound = (self.sorted[np.where(up, n - depth, depth - 1), dims] * q).sum()
-            if len(ids) == k and scores[-1] > bound:
-                break
-            read, depth = depth, min(n, 2 * depth)
-        return ids.tolist(), scores.tolist(), int(seen.sum())
+            if len(ids) == k:
+                floor = scores[-1]
+            read, target = depth, self._stop(query, up, down, depth, floor)
+            if depth >= target or seen.all():
+                return ids.tolist(), scores.tolist(), int(seen.sum())
+            depth = min(target, DEEPER * depth)
 
 
 def _exact(queries: np.ndarray, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,14 +162,17 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, scale: float = 256.
     kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, list[list]] = {}
         for batch in batches:
             for row in range(batch.num_rows):
                 value = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
                 ids, vectors = ({s: np.frombuffer(value[f"{s}_{c}"], np.int64) for s in "qc"} for c in ("ids", "vectors"))
                 both = _exact(*(vectors[s].reshape(value[f"{s}_n"], value[f"{s}_dim"]) for s in "qc"))
                 lists, out = Lists(ids["c"], both[1]), []
+                known = best.setdefault(value["q"], [[] for _ in both[0]])
                 for place, (own, query) in enumerate(zip(ids["q"].tolist(), both[0])):
-                    found, scores, _ = lists.top(own, query, k)
+                    found, scores, _ = lists.top(own, query, k, known[place][-1] if len(known[place]) == k else None)
+                    known[place] = sorted(known[place] + scores, reverse=True)[:k]
                     out += [(value["q"], place, own, i, max(-(2**63), min(2**63 - 1, int(s)))) for i, s in zip(found, scores)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],

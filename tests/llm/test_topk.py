@@ -58,3 +58,16 @@ def test_stops_before_the_end():
     ids, scores, read = Lists(np.arange(5000), candidates).top(-1, queries[0], 5)
     expected = sorted((-int(s), i) for i, s in enumerate(vectors @ [1000, 1, 1, 1]))[:5]
     assert [(-int(s), i) for s, i in zip(scores, ids)] == expected and read < 500
+
+
+def test_starting_from_a_known_score():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        queries, candidates = _exact(rng.integers(-3, 4, (1, 5)), rng.integers(-3, 4, (300, 5)))
+        lists = Lists(np.arange(300), candidates)
+        ids, scores, _ = lists.top(7, queries[0], 5)
+        expected = sorted((-s, i) for i, s in enumerate(candidates @ queries[0]) if i != 7)
+        assert list(zip([-s for s in scores], ids)) == expected[:5]
+        for known in (expected[4], expected[2], expected[40]):
+            ids, scores, _ = lists.top(7, queries[0], 5, -known[0])
+            assert list(zip([-s for s in scores], ids)) == [x for x in expected if x[0] <= known[0]][:5]

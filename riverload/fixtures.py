@@ -23,6 +23,9 @@ TABLES = {
     "documents": {"doc_id": _L, "text": _S, "lang": _S, "source": _S, "n_chars": _L},
 }
 
+# Views of the check's SQL that are read several times and computed once.
+MATERIALIZED = {"latest", "clean", "grid", "known", "ratio"}
+
 # Each view may use the test tables and the views before it.
 VIEWS = {
     "cust_site": """
@@ -55,7 +58,7 @@ SELECT n.id AS site_origine, concat('S', s_suppkey, '223') AS pt_AS,
 FROM supplier JOIN nation_site n ON s_nationkey = n_nationkey WHERE right(n.id, 3) = '029'""",
     "measure_base": """
 SELECT *, CASE WHEN l_suppkey % 10 < 5 THEN 'STEP' ELSE 'SCL' END AS kind,
-  concat('03', 10 + l_suppkey % 3, '00000', l_suppkey % 10) AS code,
+  concat('03', 10 + l_suppkey % 3, '00000', l_suppkey) AS code,
   CASE WHEN l_suppkey % 10 < 5
     THEN (CASE l_linenumber % 4 WHEN 0 THEN 'A4' WHEN 1 THEN 'A2' WHEN 2 THEN 'A4' ELSE 'A3' END)
     ELSE (CASE l_linenumber % 2 WHEN 0 THEN 'A1' ELSE 'R1' END) END AS pt
@@ -68,7 +71,9 @@ SELECT concat(l_orderkey, '-', l_linenumber) AS id_analyse, kind,
   CAST(l_shipdate AS DATE) AS Date_depot,
   CASE WHEN l_partkey % 10 < 3 THEN '1552' WHEN l_partkey % 10 = 3 THEN '1098'
     WHEN l_partkey % 10 < 6 THEN '1313' WHEN l_partkey % 10 < 8 THEN '1314'
-    WHEN l_partkey % 10 = 8 THEN '1305' ELSE '9999' END AS Code_sandre_parametre,
+    WHEN l_partkey % 10 = 8 THEN '1305'
+    ELSE (CASE (l_partkey % 70) - 9 WHEN 0 THEN '1319' WHEN 10 THEN '1335' WHEN 20 THEN '1339' WHEN 30 THEN '1340'
+    WHEN 40 THEN '1551' WHEN 50 THEN '1350' ELSE '9999' END) END AS Code_sandre_parametre,
   CASE WHEN l_partkey % 10 = 3 THEN '117' ELSE '133' END AS Code_unite,
   CASE WHEN l_quantity <= 2 THEN 0.0 WHEN l_quantity > 48 THEN NULL ELSE l_quantity END
     AS Val_resultat_analyse,
@@ -84,11 +89,11 @@ SELECT concat(l_orderkey, '-', l_linenumber) AS id_analyse, kind,
   CASE WHEN kind = 'SCL' THEN concat('Point ', pt) END AS Nom_pt_AS
 FROM measure_base""",
     "parameter_dim": """
-SELECT DISTINCT CASE WHEN p_partkey % 10 < 3 THEN '1552' WHEN p_partkey % 10 = 3 THEN '1098'
-    WHEN p_partkey % 10 < 6 THEN '1313' WHEN p_partkey % 10 < 8 THEN '1314'
-    WHEN p_partkey % 10 = 8 THEN '1305' ELSE '1335' END AS Code_sandre_parametre,
-  'mg/L' AS Symbole_unite, concat('Par', p_partkey % 10 - p_partkey % 2) AS Lib_court_parametre
-FROM part WHERE p_partkey % 10 IN (0, 3, 4, 6, 8, 9)""",
+SELECT DISTINCT CASE p_partkey % 12 WHEN 0 THEN '1552' WHEN 1 THEN '1098' WHEN 2 THEN '1313'
+    WHEN 3 THEN '1314' WHEN 4 THEN '1305' WHEN 5 THEN '1319' WHEN 6 THEN '1335' WHEN 7 THEN '1339'
+    WHEN 8 THEN '1340' WHEN 9 THEN '1551' WHEN 10 THEN '1350' ELSE '9998' END AS Code_sandre_parametre,
+  'mg/L' AS Symbole_unite, concat('Par', p_partkey % 12) AS Lib_court_parametre
+FROM part""",
     "site_xy": """
 SELECT concat('O', o_orderkey, '026') AS identifiant, concat('rejet ', o_orderkey) AS Nom_Sitou,
   concat(600000 + (o_orderkey * 7919) % 200000, ',5') AS X,
@@ -109,12 +114,12 @@ SELECT layer, ID, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1,
  ('UH','U1',600000.0,6600000.0,650000.0,6600000.0), ('UH','U1',650000.0,6600000.0,650000.0,6650000.0),
  ('UH','U1',650000.0,6650000.0,600000.0,6650000.0), ('UH','U1',600000.0,6650000.0,600000.0,6600000.0)
 ) AS t(layer, ID, x1, y1, x2, y2)""",
-    # One triangle per 20th customer, of two sizes: a layer that grows with the data.
+    # One triangle per customer, of two sizes: a layer that grows with the data.
     "customer_corner": """
 SELECT concat('E', c_custkey) AS ID, 600000.0 + (c_custkey * 3571) % 190000 AS x,
   6600000.0 + (c_custkey * 8513) % 190000 AS y,
   CASE WHEN c_custkey % 40 = 0 THEN 9000.0 ELSE 1200.0 END AS s
-FROM customer WHERE c_custkey % 20 = 0""",
+FROM customer""",
     "customer_edges": """
 SELECT 'EPCI' AS layer, ID, CAST(x AS DOUBLE) AS x1, CAST(y AS DOUBLE) AS y1,
   CAST(x + s AS DOUBLE) AS x2, CAST(y AS DOUBLE) AS y2 FROM customer_corner
@@ -135,12 +140,12 @@ FROM cust_site""",
     "network_lookup": """
 SELECT concat('03', 10 + o_custkey % 80, '0', o_orderkey % 25) AS code, o_orderkey AS ordre,
   CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS reseau
-FROM orders WHERE o_orderkey % 3 = 0""",
+FROM orders""",
     "plant_list": """
 SELECT CASE s_suppkey % 4 WHEN 0 THEN 'CL' WHEN 1 THEN NULL ELSE 'EX' END AS IDTYPE_SITUATION,
   CASE s_suppkey % 3 WHEN 0 THEN 'Pollution Ile de France' WHEN 1 THEN 'Pollution Petite Couronne'
     ELSE 'Pollution Seine Aval' END AS UNITE_GESTIONNAIRE,
-  concat('03', 10 + s_suppkey % 3, '00000', s_suppkey % 7) AS VALEUR_FCT_PRINCIPAL,
+  concat('03', 10 + s_suppkey % 3, '00000', s_suppkey) AS VALEUR_FCT_PRINCIPAL,
   s_name AS NOM, concat('MOA ', s_nationkey) AS MOA, s_acctbal AS capacite
 FROM supplier""",
     "contributor": """
@@ -185,7 +190,7 @@ def with_views(body: str, *names: str, recursive: bool = False, extra: dict[str,
     parts = {n: VIEWS[n] for n in needed} | extra
     if not parts:
         return body
-    clauses = ",\n".join(f"{n} AS ({text.strip()})" for n, text in parts.items())
+    clauses = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}({text.strip()})" for n, text in parts.items())
     return f"WITH {'RECURSIVE ' if recursive else ''}{clauses}\n{body}"
 
 

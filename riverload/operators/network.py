@@ -25,14 +25,14 @@ def discharge_points(nodes: DataFrame, site_type: str = TYPE_DISCHARGE) -> DataF
 
 def upstream_walk(
     nodes: DataFrame, links: DataFrame, seeds: DataFrame,
-    stop_types: Iterable[str] = STOP_TYPES, max_passes: int = 1000,
+    stop_types: Iterable[str] = STOP_TYPES,
 ) -> DataFrame:
     """Sites upstream of each seed: ``seed, identifiant, No_Type_Sitou, depth``.
 
     ``depth`` is the smallest number of links to the seed. Stop types are
     reached but not passed; an upstream id that is no node is ignored; a cycle
-    ends because a site is kept once per seed. Each pass is written as a stage.
-    ``max_passes`` is a guard that raises, never a way to cut the result short.
+    ends because a site is kept once per seed, however long the way. Each pass is
+    written as a stage.
     """
     stages = Stages(nodes.sparkSession, "walk")
     stop_types = list(stop_types)
@@ -49,8 +49,6 @@ def upstream_walk(
     frontier, depth, more = found[0], 0, True
     while more:
         depth += 1
-        if depth > max_passes:
-            raise RuntimeError(f"the walk did not end within {max_passes} passes")
         reached = (null_safe_join(frontier.select("seed", "identifiant"), edges, [("identifiant", "down")])
                    .select("seed", F.col("up").alias("identifiant"), "No_Type_Sitou"))
         new, more = _write_new(stages, depth, _all_passes(found), reached, stop_types)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverload.fixed_values import (
-    MEASURE_NAMES, RESULT_KEYS, RUN_PARAMETERS, SIZE_CLASSES, SITE_XY_NAMES,
+    KIND_NETWORK, KIND_PLANT, MEASURE_NAMES, RESULT_KEYS, RUN_PARAMETERS, SIZE_CLASSES, SITE_XY_NAMES,
 )
 from riverload.fixtures import with_views
 from riverload.operators import cleaning
@@ -209,9 +209,12 @@ def parameter_units_present(spark: SparkSession, sf_dir: str) -> DataFrame:
         cleaning.clean_measures(Input(spark, sf_dir).measure, ["kind"]))
 
 
-@registry.add(with_views("SELECT Code_SANDRE FROM measure WHERE kind = 'SCL'"))
+@registry.add(with_views("SELECT kind, Code_SANDRE FROM clean", extra=CLEAN_VIEWS))
 def stations_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.station_list(Input(spark, sf_dir).measure.where("kind = 'SCL'"))
+    clean = cleaning.clean_measures(Input(spark, sf_dir).measure, ["kind"])
+    plant, network = (cleaning.station_list(clean.where(F.col("kind") == kind)).withColumn("kind", F.lit(kind))
+                      for kind in (KIND_PLANT, KIND_NETWORK))
+    return plant.unionByName(network)
 
 
 @registry.add(with_views("SELECT DISTINCT No_Sitou_Am, No_Sitou, "

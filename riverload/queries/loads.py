@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,24 +134,32 @@ def discharge_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.discharge_measures(Input(spark, sf_dir).measure).select("id_analyse", "Pt_SANDRE")
 
 
-@registry.add(_sql(f"SELECT DT, {_DAY}, {_PLANT}, Debit_m3j, Code_remarque, {_REMARKS}, Annee, Mois, "
-                   "Nb_jours_mois FROM flow WHERE kind = 'STEP'"))
+def _both_kinds(make: Callable[[str], DataFrame]) -> DataFrame:
+    """Plants and networks under each other; a column that one of them lacks is null."""
+    plant, network = (make(kind).withColumn("kind", F.lit(kind)) for kind in (KIND_PLANT, KIND_NETWORK))
+    return plant.unionByName(network, allowMissingColumns=True)
+
+
+@registry.add(_sql(f"SELECT kind, DT, {_DAY}, {_PLANT}, {_NETWORK}, Debit_m3j, Code_remarque, {_REMARKS}, Annee, "
+                   "Mois, Nb_jours_mois FROM flow"))
 def daily_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loads.daily_flow(plans.prepared_measures(Input(spark, sf_dir).measure, KIND_PLANT),
-                            PLANT_ATTRIBUTES)
+    measure = Input(spark, sf_dir).measure
+    return _both_kinds(lambda kind: loads.daily_flow(
+        plans.prepared_measures(measure, kind), PLANT_ATTRIBUTES if kind == KIND_PLANT else NETWORK_ATTRIBUTES))
 
 
-@registry.add(_sql(f"SELECT DT, {_DAY}, Code_sandre_parametre, Concentration, Code_remarque, {_REMARKS} "
-                   "FROM conc WHERE kind = 'STEP'"))
+@registry.add(_sql(f"SELECT kind, DT, {_DAY}, Code_sandre_parametre, Concentration, Code_remarque, {_REMARKS} "
+                   "FROM conc"))
 def concentrations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Loads(spark, sf_dir).days_and_concentrations(KIND_PLANT)[1]
+    t = Loads(spark, sf_dir)
+    return _both_kinds(lambda kind: t.days_and_concentrations(kind)[1])
 
 
-@registry.add(_sql(f"SELECT DT, {_DAY}, {_PLANT}, Debit_m3j, {_REMARKS}, Code_sandre_parametre, "
-                   "Symbole_unite, Lib_court_parametre FROM grid WHERE kind = 'STEP'"))
+@registry.add(_sql(f"SELECT kind, DT, {_DAY}, {_PLANT}, {_NETWORK}, Debit_m3j, {_REMARKS}, Code_sandre_parametre, "
+                   "Symbole_unite, Lib_court_parametre FROM grid"))
 def day_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Loads(spark, sf_dir)
-    return loads.day_grid(t.days_and_concentrations(KIND_PLANT)[0], t.parameter_dim_kept())
+    return _both_kinds(lambda kind: loads.day_grid(t.days_and_concentrations(kind)[0], t.parameter_dim_kept()))
 
 
 @registry.add(_sql(f"SELECT {_DAILY} FROM load_day WHERE kind = 'STEP'"))
@@ -245,28 +255,37 @@ def plants_without_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = t.plant_list.withColumnsRenamed({
         "UNITE_GESTIONNAIRE": "UNITE GESTIONNAIRE", "MOA": "MOA (Roseau)",
         "capacite": "29.CAPACIT - Capacité nominale"})
-    annual = loads.annual_load_plants(t.daily(KIND_PLANT))
-    return plants.plants_without_data(listed, annual, plants.office_managers(spark, "DSF"))
+    # A plant has an annual load as soon as it has a day of known flow.
+    days = t.days_and_concentrations(KIND_PLANT)[0].select("Code_SANDRE").distinct()
+    return plants.plants_without_data(listed, days, plants.office_managers(spark, "DSF"))
 
 
-@registry.add(_sql("SELECT DT, Annee, count(*) AS lignes, sum(Nb_jours_flux) AS jours FROM annual_step "
-                   "GROUP BY DT, Annee"))
+@registry.add(_sql("SELECT * FROM annual_step UNION ALL BY NAME SELECT * FROM annual_scl"))
 def written_annual_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{Stages(spark, 'output').path}/annual"
-    annual = loads.annual_load_plants(Loads(spark, sf_dir).daily(KIND_PLANT))
-    writers.write_annual(annual, path)
-    return (spark.read.schema(annual.schema).parquet(path).groupBy("DT", "Annee")
-            .agg(F.count("*").alias("lignes"), F.sum("Nb_jours_flux").alias("jours")))
+    t = Loads(spark, sf_dir)
+    path = Stages(spark, "output").path
+    back = []
+    for kind, annual_load in ((KIND_PLANT, loads.annual_load_plants), (KIND_NETWORK, loads.annual_load_networks)):
+        annual = annual_load(t.daily(kind))
+        writers.write_annual(annual, f"{path}/annual-{kind}")
+        back.append(_annual(spark.read.schema(annual.schema).parquet(f"{path}/annual-{kind}")))
+    return back[0].unionByName(back[1], allowMissingColumns=True)
+
+
+@registry.add(_sql(f"""SELECT 'STEP' AS kind, {_DAILY}, {_PLANT}, NULL AS SCL_Nom_Sitou, NULL AS Classe_CBPO,
+  NULL AS Identifiant_pt_AS, NULL AS Nom_pt_AS, substr(Code_SANDRE, 3, 2) AS Departement FROM daily_step
+UNION ALL BY NAME SELECT 'SCL' AS kind, {_DAILY}, {_NETWORK}, substr(Code_SANDRE, 3, 2) AS Departement FROM daily_scl"""))
+def written_daily_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Loads(spark, sf_dir)
+    path = Stages(spark, "output").path
 
+    def written(kind: str) -> DataFrame:
+        daily = t.daily(kind)
+        writers.write_daily_by_department(daily, f"{path}/daily-{kind}")
+        back = spark.read.schema(loads.add_department(daily).schema).parquet(f"{path}/daily-{kind}")
+        return _rounded(back.drop("Code_remarque"))
 
-@registry.add(_sql("""SELECT substr(Code_SANDRE, 3, 2) AS Departement, Source_concentration, count(*) AS lignes
-FROM daily_scl GROUP BY ALL"""))
-def written_daily_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{Stages(spark, 'output').path}/daily"
-    daily = Loads(spark, sf_dir).daily(KIND_NETWORK)
-    writers.write_daily_by_department(daily, path)
-    return (spark.read.schema(loads.add_department(daily).schema).parquet(path)
-            .groupBy("Departement", "Source_concentration").agg(F.count("*").alias("lignes")))
+    return _both_kinds(written)
 
 
 def _annual(annual: DataFrame) -> DataFrame:

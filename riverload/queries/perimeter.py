@@ -115,8 +115,15 @@ def points_in_shrunk_perimeter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Perimeter(spark, sf_dir).inside(radius=-2000.0)
 
 
-@registry.add(_sql("SELECT * FROM inside", _spatial(
-    "SELECT * FROM customer_edges", "crossed % 2 = 1 OR d2 <= 250.0 * 250.0")))
+# Only points in the surroundings of a feature can be within 250 m of it.
+_MANY = _spatial("""SELECT *, min(least(x1, x2)) OVER w AS west, max(greatest(x1, x2)) OVER w AS east,
+  min(least(y1, y2)) OVER w AS south, max(greatest(y1, y2)) OVER w AS north
+FROM customer_edges WINDOW w AS (PARTITION BY ID)""", "crossed % 2 = 1 OR d2 <= 250.0 * 250.0")
+_MANY["nearest"] = _NEAREST.replace("xy CROSS JOIN chosen", """xy JOIN chosen
+  ON X BETWEEN west - 250 AND east + 250 AND Y BETWEEN south - 250 AND north + 250""")
+
+
+@registry.add(_sql("SELECT * FROM inside", _MANY))
 def points_in_many_perimeters(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Perimeter(spark, sf_dir)
     return spatial.points_in_perimeter(t.xy(), t.customer_edges, 250.0)
@@ -169,20 +176,20 @@ _FEATURE = ("""concat('{"type":"Feature","geometry":{"type":"Point","coordinates
             """"properties":{"rejet":"L', l_orderkey, '","rang":', l_linenumber, '}}')""")
 
 
-@registry.add(f"SELECT {_FEATURE} AS value FROM lineitem WHERE l_orderkey < 100000")
+@registry.add(f"SELECT {_FEATURE} AS value FROM lineitem")
 def points_as_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = Input(spark, sf_dir).lineitem.where("l_orderkey < 100000")
+    lines = Input(spark, sf_dir).lineitem
     return features(lines.select(
         F.concat(F.lit("L"), "l_orderkey").alias("rejet"), F.col("l_linenumber").alias("rang"),
         (F.col("l_orderkey") + 0.5).cast("double").alias("X"),
         (F.col("l_partkey") + 0.25).cast("double").alias("Y")))
 
 
-@registry.add(_sql("SELECT count(*) AS lignes, count(*) AS points FROM inside", _AT_3_KM))
+@registry.add(_sql("SELECT identifiant, X, Y FROM inside", _AT_3_KM))
 def written_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Stages(spark, 'output').path}/features"
     write_features(Perimeter(spark, sf_dir).inside(radius=3000.0), path)
-    parsed = F.from_json("value", "type string, geometry struct<type: string, coordinates: array<double>>")
-    return (spark.read.text(path).select(parsed.alias("f"))
-            .agg(F.count("*").alias("lignes"),
-                 F.count_if(F.col("f.geometry.type") == "Point").alias("points")))
+    parsed = F.from_json("value", "geometry struct<coordinates: array<double>>, properties struct<identifiant: string>")
+    return spark.read.text(path).select(parsed.alias("f")).select(
+        "f.properties.identifiant", F.col("f.geometry.coordinates")[0].alias("X"),
+        F.col("f.geometry.coordinates")[1].alias("Y"))

@@ -114,3 +114,16 @@ def test_partitioned_outputs(spark, tmp_path):
     writers.write_daily_by_department(
         spark.createDataFrame([("0376x",), ("0314x",)], "Code_SANDRE string"), str(tmp_path / "daily"), "csv")
     assert {p.name for p in (tmp_path / "daily").glob("Dep*")} == {"Departement=76", "Departement=14"}
+
+
+def test_other_offices_results_stay(spark, tmp_path):
+    def run(office, year, kg):
+        table = spark.createDataFrame([("0376x", office, year, kg)], "Code_SANDRE string, DT string, Annee int, kg double")
+        writers.write_annual(table, str(tmp_path / "annual"))
+        writers.write_daily_by_department(table, str(tmp_path / "daily"))
+
+    for office, year, kg in (("D1", 2020, 1.0), ("D2", 2020, 2.0), ("D2", 2021, 3.0), ("D1", 2020, 4.0)):
+        run(office, year, kg)
+    for name in ("annual", "daily"):
+        back = spark.read.parquet(str(tmp_path / name)).select("DT", "Annee", "kg")
+        assert sorted(map(tuple, back.collect())) == [("D1", 2020, 4.0), ("D2", 2020, 2.0), ("D2", 2021, 3.0)]

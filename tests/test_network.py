@@ -56,11 +56,11 @@ def test_cycle_unknown_parent_and_stop(spark):
     assert got == [("a", 1), ("b", 2), ("s", 0), ("stop", 3)]
 
 
-def test_guard_raises_instead_of_cutting(spark):
-    types = {"s": "026", "a": "096", "b": "096"}
-    nodes, link = frames(spark, types, [("a", "s"), ("b", "a")])
-    with pytest.raises(RuntimeError, match="1 passes"):
-        network.upstream_walk(nodes, link, network.discharge_points(nodes), max_passes=1)
+def test_long_way_is_walked_to_its_end(spark):
+    types = {"n0": "026"} | {f"n{i}": "096" for i in range(1, 15)}
+    links = [(f"n{i + 1}", f"n{i}") for i in range(14)]
+    got = {(r.seed, r.identifiant): r.depth for r in walk(spark, types, links).collect()}
+    assert got == {("n0", f"n{i}"): i for i in range(15)}
 
 
 def test_ranks(spark):

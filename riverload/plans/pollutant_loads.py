@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverload.fixed_values import (
-    KIND_NETWORK, KIND_PLANT, LABEL_MEASURED_PLANT, NETWORK_ATTRIBUTES, PLANT_ATTRIBUTES,
+    KIND_NETWORK, KIND_PLANT, LABEL_MEASURED_PLANT, MEASURE_NAMES, NETWORK_ATTRIBUTES, PLANT_ATTRIBUTES,
 )
 from riverload.operators import loads
 from riverload.operators.cleaning import clean_measures
+from riverload.sources.tables import rename_columns
 from riverload.stages import Stages
 
 
+def measures_from_extract(extract: DataFrame, kind: str) -> DataFrame:
+    """One kind's extract under the working names; what has no such name stays as delivered."""
+    return rename_columns(extract, MEASURE_NAMES).withColumn("kind", F.lit(kind))
+
+
 def prepared_measures(measures: DataFrame, kind: str) -> DataFrame:
     """Cleaned measures of one kind that can take part in a load, written once.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverload.fixed_values import (
-    KIND_NETWORK, KIND_PLANT, LABEL_MEASURED_NETWORK, LABEL_MEASURED_PLANT, NETWORK_ATTRIBUTES,
+    KIND_NETWORK, KIND_PLANT, LABEL_MEASURED_NETWORK, LABEL_MEASURED_PLANT, MEASURE_NAMES, NETWORK_ATTRIBUTES,
     PLANT_ATTRIBUTES,
 )
 from riverload.fixtures import with_views
@@ -288,5 +288,16 @@ def written_daily_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_kinds(written)
 
 
+@registry.add(_sql("SELECT * FROM annual_step UNION ALL BY NAME SELECT * FROM annual_scl"))
+def annual_loads_from_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Loads(spark, sf_dir)
+    delivered = t.measure.withColumnsRenamed({new: old for old, new in MEASURE_NAMES.items()})
+    plant, network = (plans.measures_from_extract(delivered.where(F.col("kind") == kind).drop("kind"), kind)
+                      for kind in (KIND_PLANT, KIND_NETWORK))
+    params = t.parameter_dim_kept()
+    return _annual(plans.plant_annual(plant, params)).unionByName(
+        _annual(plans.network_annual(network, params)), allowMissingColumns=True)
+
+
 def _annual(annual: DataFrame) -> DataFrame:
     return annual.withColumn("Flux_annuel_kg_an", _steady("Flux_annuel_kg_an"))

@@ -43,6 +43,14 @@ def select_rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select([df[f"`{c}`"].alias(new) for c, new in names.items()])
 
 
+def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Rename the columns of ``names`` (source -> working name), which must all exist; others stay."""
+    missing = [c for c in names if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    return df.withColumnsRenamed(names)
+
+
 def column_by_position(df: DataFrame, name: str, position: int) -> DataFrame:
     """Name the column at the 1-based ``position``.
 
@@ -89,5 +97,5 @@ def contributors_table(df: DataFrame) -> DataFrame:
 
 __all__ = [
     "column_by_position", "contributors_table", "pivot_parameters", "read_delimited_fr",
-    "read_table", "select_rename", "stack", "union_by_position",
+    "read_table", "rename_columns", "select_rename", "stack", "union_by_position",
 ]

@@ -2,7 +2,6 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from riverload import stages
@@ -83,10 +82,10 @@ def test_stages_use_the_shared_folder(spark):
     assert written.count() == 3 and written.inputFiles()[0].startswith(f"file://{root}/t-")
 
 
-def test_cluster_without_shared_folder_is_refused():
+def test_without_setting_stages_are_below_the_warehouse():
     class Conf:
         def get(self, key, default=None):
-            return default
+            return "hdfs:/warehouse/" if key == "spark.sql.warehouse.dir" else default
 
     class Fake:
         conf = Conf()
@@ -98,5 +97,4 @@ def test_cluster_without_shared_folder_is_refused():
             def getConf():
                 return Conf()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        stages.stage_root(Fake)
+    assert stages.stage_root(Fake) == "hdfs:/warehouse/_stages"

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverload.llm import (
-    chat_format, decontaminate, line_dedup, packing, pii, quality, simhash, token_counts, topk, url_filters,
+    chat_format, collocations, decontaminate, line_dedup, packing, pii, quality, secrets, simhash, token_counts, topk, url_filters, vector_codes,
 )
 from riverload.queries.registry import Registry
 
@@ -183,3 +183,134 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test item that stands in a document."""
     hits = decontaminate.leaks("text", table(spark, sf_dir, "benchmark"))
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(hits).alias("hit")).select("doc_id", "hit.*")
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Each round as two tables: where the parts go, and what becomes of the entries."""
+    steps = [f"""
+WITH v AS MATERIALIZED (
+ SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+ FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+ SELECT n, p, e[p * (len(e) // 8) + 1 : (p + 1) * (len(e) // 8)] AS x FROM v, (SELECT unnest(range(8)) AS p)
+), book0 AS MATERIALIZED (SELECT p, n - 1 AS entry, x FROM parts WHERE n <= 16)"""]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+ SELECT n, p, min(CAST(list_sum(list_transform(list_zip(parts.x, book.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * 16 + entry) AS found
+ FROM parts JOIN book{k} book USING (p) GROUP BY n, p)""")
+        if k < rounds:
+            steps.append(f"""sum{k} AS (
+ SELECT p, found % 16 AS entry, j, CAST(sum(c) AS BIGINT) AS s, count(*) AS c
+ FROM (SELECT p, found, unnest(x) AS c, unnest(range(len(x))) AS j FROM near{k} JOIN parts USING (n, p)) GROUP BY ALL
+), mean{k} AS (SELECT p, entry, list((s - ((s % c) + c) % c) // c ORDER BY j) AS x FROM sum{k} GROUP BY p, entry),
+book{k + 1} AS MATERIALIZED (SELECT p, entry, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN mean{k} m USING (p, entry))""")
+    return ",\n".join(steps) + f"""
+, coded AS (
+ SELECT n, string_agg(lpad(to_hex(found % 16), 2, '0'), '' ORDER BY p) AS code, CAST(sum(found // 16) AS BIGINT) AS error FROM near{rounds} GROUP BY n
+), labels AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM v JOIN coded USING (n) GROUP BY label)
+SELECT vec_id, lower(code) AS code, error, label_error,
+ (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM v JOIN coded USING (n) JOIN labels ON v.label IS NOT DISTINCT FROM labels.label"""
+
+
+@registry.add(_codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors and the digest of the codebooks."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.lit(",".join(str(c) for book in books for c in book.ravel().tolist())), 256)
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def _secrets_sql() -> str:
+    def found(name: str, pattern: str, where: str = "true") -> str:
+        return f"""
+{name} AS MATERIALIZED (
+ SELECT * FROM (
+  SELECT n, found, CAST(sum(length(gap) + length(found)) OVER (PARTITION BY n ORDER BY i) AS BIGINT) AS stop FROM (
+   SELECT n, unnest(string_split_regex(text, $p${pattern}$p$)) AS gap, unnest(regexp_extract_all(text, $p${pattern}$p$)) AS found,
+    unnest(range(len(regexp_extract_all(text, $p${pattern}$p$)))) AS i FROM d WHERE regexp_matches(text, $p${pattern}$p$)) WHERE i IS NOT NULL)
+ WHERE {where})"""
+
+    fits = " ".join(f"WHEN regexp_full_match(found, '{p}') THEN '{alphabet}'" for p, alphabet in secrets.ENCODINGS)
+    return "WITH d AS MATERIALIZED (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents)," + ",".join([
+        found("a", secrets.ASSIGN, f"length(regexp_extract(found, $p${secrets.ASSIGN}$p$, 1)) >= 6"), found("k", secrets.ACCESS), found("h", secrets.HEX),
+        found("r", secrets.RUN)]) + f"""
+, base AS (
+ SELECT n, stop - length(found) AS start, 0 AS kind, stop FROM a UNION ALL SELECT n, stop - length(found), 1, stop FROM k
+ UNION ALL SELECT n, stop - length(found), 2, stop FROM h
+), runs AS (SELECT n, stop, found, CASE {fits} ELSE '' END AS alphabet FROM r
+), symbols AS (
+ SELECT *, CAST(strpos(alphabet, s) AS DOUBLE) AS v FROM (
+  SELECT n, stop, alphabet, length(alphabet) AS m, length(found) AS size, unnest(string_split(found, '')) AS s, unnest(range(length(found))) AS i FROM runs WHERE alphabet <> '')
+), means AS (SELECT n, stop, avg(v) AS mean FROM symbols GROUP BY n, stop
+), near AS (
+ SELECT *, v <= m // 2 AS low, lead(v) OVER w AS next FROM symbols JOIN means USING (n, stop) WINDOW w AS (PARTITION BY n, stop ORDER BY i)
+), counted AS (SELECT n, stop, sum(c * c) AS squares FROM (SELECT n, stop, s, count(*) AS c FROM symbols GROUP BY n, stop, s) GROUP BY n, stop
+), facts AS (
+ SELECT n, stop, any_value(m) AS m, any_value(size) AS size, 2.0::DOUBLE * count(*) FILTER (WHERE low) * count(*) FILTER (WHERE NOT low) AS pairs,
+  1 + count(*) FILTER (WHERE next IS NOT NULL AND low <> (next <= m // 2)) AS changes,
+  least(0.999, abs(coalesce(sum((v - mean) * (next - mean)) / nullif(sum((v - mean) * (v - mean)), 0), 1))) AS r
+ FROM near GROUP BY n, stop
+), tests AS (
+ SELECT n, stop, size, m, ((m - 1 + uneven) - (CAST(squares AS DOUBLE) * m / size - size)) / sqrt(2 * (m - 1 + 2 * uneven)) AS spread,
+  CASE WHEN pairs = 0 THEN -10 ELSE (0.7::DOUBLE * (pairs / size + 1) - abs(changes - (pairs / size + 1))) / sqrt(pairs * (pairs - size) / (size * size * (size - 1.0::DOUBLE))) END AS clustered,
+  (atanh(0.8::DOUBLE) - atanh(r)) * sqrt(size - 3) AS serial
+ FROM (SELECT *, CASE WHEN m = 16 THEN 1.0::DOUBLE ELSE m * 0.065::DOUBLE - 1 END * size AS uneven FROM facts JOIN counted USING (n, stop))
+), steps AS (
+ SELECT n, stop, size, CAST(floor(log2(size * log2(m))) AS INTEGER) AS class, CAST(floor(greatest(0, least(10, spread, clustered, serial)) * 8) AS INTEGER) AS step FROM tests
+), classes AS (
+ SELECT class, min(step) AS least FROM (
+  SELECT class, step, step / 8.0::DOUBLE AS z, sum(count(*)) OVER (PARTITION BY class ORDER BY step DESC) AS found, sum(count(*)) OVER (PARTITION BY class) AS every
+  FROM steps GROUP BY class, step)
+ WHERE CASE WHEN z < 1 THEN 0.5 * exp(-z * z / 2) ELSE exp(-z * z / 2) / (z * sqrt(2 * pi())) END * every <= 0.05::DOUBLE * found GROUP BY class
+), every AS (
+ SELECT * FROM base UNION ALL SELECT n, stop - size, 3, stop FROM steps JOIN classes USING (class)
+ WHERE step >= least AND NOT EXISTS (SELECT 1 FROM base b WHERE b.n = steps.n AND b.start <= steps.stop - size AND steps.stop <= b.stop)
+), told AS (SELECT n, start, kind, stop, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || stop AS span FROM every)
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+ sha256(coalesce(string_agg(span, ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3), '')) AS base_sha256,
+ coalesce(string_agg(span, ',' ORDER BY start, kind, stop), '') AS spans
+FROM d LEFT JOIN told USING (n) GROUP BY n"""
+
+
+@registry.add(_secrets_sql())
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by pattern and by randomness."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def told(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(number, ("assign", "access", "hex")),
+                        F.sha2(told(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"), told("spans").alias("spans"))
+
+
+@registry.add(r"""
+WITH pieces AS (
+ SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+ FROM documents
+), words AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest(range(1, 6)) AS k)
+), counts AS MATERIALIZED (
+ SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS a FROM places GROUP BY ALL HAVING count(*) >= 100
+), inner_phrases AS (
+ SELECT lang, g[j:j + s - 1] AS g, max(a) AS most FROM counts, (SELECT unnest(range(2, 5)) AS s), (SELECT unnest(range(1, 5)) AS j) WHERE s < k AND j + s - 1 <= k GROUP BY ALL
+), kept AS (SELECT c.* FROM counts c LEFT JOIN inner_phrases i USING (lang, g) WHERE k > 1 AND (most IS NULL OR most < a)
+), cuts AS (
+ SELECT kept.lang, kept.g, kept.a, l.k AS cut, l.a AS l, r.a AS r, n, (1000::HUGEINT * kept.a * n) // (l.a::HUGEINT * r.a) AS score
+ FROM kept JOIN totals USING (lang) JOIN counts l ON l.lang = kept.lang AND l.k < kept.k AND l.g = kept.g[1:l.k]
+ JOIN counts r ON r.lang = kept.lang AND r.k = kept.k - l.k AND r.g = kept.g[l.k + 1:]
+), best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) AS nth FROM cuts
+), ranked AS (
+ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+ FROM best WHERE nth = 1
+)
+SELECT * FROM ranked WHERE rank <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))

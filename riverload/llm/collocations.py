@@ -38,6 +38,10 @@ LEAST, KEEP = 100, 2000
 CELLS, BYTES = (16, 25), 32
 #: Cells that travel together, and words that a task counts together.
 BLOCK, TOGETHER = 1 << 16, 1_500_000
+#: Different grams that a task holds at most.
+HELD = 1_000_000
+#: Most languages whose word numbers are broadcast.
+LANGUAGES = 10_000
 #: Edges in one row of a compacted path; a longer path takes several rows.
 SEGMENT = 64
 UNKNOWN = "und"
@@ -173,6 +177,12 @@ def _summed(words: Words, frequent: np.ndarray, power: int) -> Iterator[pa.Recor
         langs, pa.array(np.zeros(len(langs), np.int32)), pa.array([""] * len(langs)), pa.array(totals.astype(np.int64))], schema=_GRAMS)
 
 
+def _merged(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Equal grams as one row."""
+    merged = pa.Table.from_batches(batches, _GRAMS).group_by(_GRAMS.names[:3]).aggregate([("weight", "sum")])
+    return pa.Table.from_arrays(merged.select([*_GRAMS.names[:3], "weight_sum"]).columns, schema=_GRAMS).to_batches(max_chunksize=100_000)
+
+
 def count_grams(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """``lang, size, gram, weight``: longest grams by where they start; size 0 has the number of all words.
 
@@ -185,8 +195,15 @@ def count_grams(texts: DataFrame, least: int = LEAST) -> DataFrame:
     frequent = spark.sparkContext.broadcast(frequent_cells(texts, least, power))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for words in read_words(batches):
-            yield from _summed(words, frequent.value, power)
+            held += _summed(words, frequent.value, power)
+            if sum(map(len, held)) >= HELD:
+                held = _merged(held)
+                if sum(map(len, held)) >= HELD // 2:
+                    yield from held
+                    held = []
+        yield from _merged(held)
 
     return (texts.mapInArrow(count, "lang string, size int, gram string, weight long")
             .groupBy("lang", "size", "gram").agg(F.sum("weight").alias("weight")))
@@ -310,6 +327,8 @@ def collocations(docs: DataFrame, least: int = LEAST, keep: int = KEEP) -> DataF
         shorter_counts(paths.union(rare), ends, nodes, least)
         .union(frequent.select("lang", F.lit(LONGEST).alias("size"), "gram", F.col("weight").alias("a"))), "counts")
     totals = grams.where("size = 0").select("lang", F.col("weight").alias("n"))
+    if totals.count() <= LANGUAGES:  # else the join goes by language, and a large one waits for its split
+        totals = F.broadcast(totals)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (score_phrases(counts, totals).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= keep)
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))

@@ -23,6 +23,7 @@ Built-in functions only.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,36 +66,46 @@ UNEVEN, RUNS_OFF, CORRELATED = 1.0, 0.7, 0.8
 STEPS, LARGEST, FALSE = 8, 10, 0.05
 
 
+def given(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made`` of the value, which is computed once: a column used in a lambda would be computed for each element."""
+    return F.transform(F.array(value), made)[0]
+
+
+def scan(items: Column, measure: Callable[[Column], Column], plus: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """Array of (``before, item``): with each item the measures of all items before it, added up by ``plus``.
+
+    Made in blocks of about the root of their number, so that very many items take no square of time.
+    """
+    def listed(rows: Column, value: Callable[[Column], Column]) -> Column:
+        none = F.slice(F.transform(rows, lambda x: F.struct(zero.alias("before"), x.alias("item"))), 1, 0)
+        return F.aggregate(rows, F.struct(zero.alias("total"), none.alias("all")), lambda done, x: F.struct(
+            plus(done["total"], value(x)).alias("total"),
+            F.concat(done["all"], F.array(F.struct(done["total"].alias("before"), x.alias("item")))).alias("all")))
+
+    def blocks(rows: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(rows))).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / size).cast("int")), lambda k: F.slice(rows, k * size + 1, size))
+        return given(F.transform(cut, lambda b: listed(b, measure)), lambda inner: F.flatten(F.transform(
+            listed(inner, lambda b: b["total"])["all"], lambda o: F.transform(o["item"]["all"], lambda x: F.struct(
+                plus(o["before"], x["before"]).alias("before"), x["item"].alias("item"))))))
+
+    return given(items, lambda rows: F.when(F.size(rows) > 0, blocks(rows)).otherwise(F.slice(
+        F.transform(rows, lambda x: F.struct(zero.alias("before"), x.alias("item"))), 1, 0)))
+
+
 def spans_of(text: str | Column, pattern: str) -> Column:
     """Matches of the pattern, array of (``start, end, found``), leftmost first; positions in code points.
 
-    The text between the matches gives their places. Sums are made in blocks of about
-    the root of their number, so that very many matches take no square of time.
+    The text between the matches gives their places.
     """
     text = F.col(text) if isinstance(text, str) else text
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(F.split(text, pattern, -1), found, lambda gap, match: F.struct(
+    steps = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, match: F.struct(
         F.length(gap).alias("gap"), F.length(match).alias("size"), match.alias("found")))
-    steps = F.filter(steps, lambda s: s["found"].isNotNull())
-    block = F.ceil(F.sqrt(F.size(steps))).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int")),
-                         lambda k: F.slice(steps, k * block + 1, block))
-    none = F.array().cast("array<struct<start:int,end:int,found:string>>")
-    placed = F.transform(blocks, lambda b: F.aggregate(
-        b, F.struct(F.lit(0).alias("at"), none.alias("all")),
-        lambda done, s: F.struct(
-            (done["at"] + s["gap"] + s["size"]).alias("at"),
-            F.concat(done["all"], F.array(F.struct(
-                (done["at"] + s["gap"]).alias("start"), (done["at"] + s["gap"] + s["size"]).alias("end"),
-                s["found"].alias("found")))).alias("all"))))
-    kind = "array<struct<before:int,all:array<struct<start:int,end:int,found:string>>>>"
-    moved = F.aggregate(
-        placed, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("blocks")),
-        lambda done, b: F.struct((done["at"] + b["at"]).alias("at"), F.concat(done["blocks"], F.array(F.struct(
-            done["at"].alias("before"), b["all"].alias("all")))).alias("blocks")))["blocks"]
-    spans = F.flatten(F.transform(moved, lambda b: F.transform(b["all"], lambda s: F.struct(
-        (b["before"] + s["start"]).alias("start"), (b["before"] + s["end"]).alias("end"), s["found"].alias("found")))))
-    return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(none)
+    placed = scan(F.filter(steps, lambda s: s["found"].isNotNull()), lambda s: s["gap"] + s["size"], lambda a, b: a + b, F.lit(0))
+    spans = F.transform(placed, lambda s: F.struct(
+        (s["before"] + s["item"]["gap"]).alias("start"), (s["before"] + s["item"]["gap"] + s["item"]["size"]).alias("end"),
+        s["item"]["found"].alias("found")))
+    return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(F.array().cast("array<struct<start:int,end:int,found:string>>"))
 
 
 def base_spans(text: str | Column) -> Column:
@@ -113,9 +124,6 @@ def deviation(run: Column) -> Column:
     from structure; null if no encoding fits."""
     alphabet = reduce(lambda chain, e: chain.when(F.regexp_like(run, F.lit(f"^{e[0]}$")), F.lit(e[1])),
                       ENCODINGS[1:], F.when(F.regexp_like(run, F.lit(f"^{ENCODINGS[0][0]}$")), F.lit(ENCODINGS[0][1])))
-    # Bound one after the other by one-element arrays: a lambda's variable is computed once.
-    def given(value: Column, made) -> Column:
-        return F.transform(F.array(value), made)[0]
 
     def tests(facts: Column) -> Column:
         n, m = F.length(run), F.length(facts["alphabet"])
@@ -138,9 +146,9 @@ def deviation(run: Column) -> Column:
         clustered = F.when(pairs == 0, F.lit(-float(LARGEST))).otherwise(
             (RUNS_OFF * wanted - F.abs(runs - wanted)) / F.sqrt(pairs * (pairs - n) / (n * n * (n - 1.0))))
         mean = F.aggregate(facts["values"], F.lit(0.0), lambda total, v: total + v) / n
-        return given(F.struct(F.transform(facts["values"], lambda v: v - mean).alias("gaps"), clustered.alias("clustered")), lambda more: given(
-            F.least(facts["spread"], more["clustered"], serial(more["gaps"], n)),
-            lambda z: F.struct((n * F.log2(facts["m"])).alias("bits"), z.alias("z"))))
+        gaps = given(mean, lambda middle: F.transform(facts["values"], lambda v: v - middle))
+        return given(gaps, lambda around: F.struct(
+            (n * F.log2(facts["m"])).alias("bits"), F.least(facts["spread"], clustered, serial(around, n)).alias("z")))
 
     def serial(gaps: Column, n: Column) -> Column:
         together = F.aggregate(F.zip_with(F.slice(gaps, F.lit(1), n - 1), F.slice(gaps, F.lit(2), n - 1), lambda a, b: a * b),
@@ -188,12 +196,14 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     passed = thresholds(scanned.select(F.inline("tested")).select("class", "step"), share).collect()  # one row a class, a class a power of two
     found = F.array().cast("array<struct<class:int,least:int>>") if not passed else F.array(*[
         F.struct(F.lit(r["class"]).alias("class"), F.lit(r["least"]).alias("least")) for r in passed])
-    random = F.filter("tested", lambda s: F.exists(found, lambda t: (t["class"] == s["class"]) & (s["step"] >= t["least"]))
-                      & ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
-    every = F.array_sort(F.concat(
-        F.transform("base", lambda s: F.struct(s["start"], s["order"], s["end"])),
-        F.transform(random, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index("random")).alias("order"), s["end"].alias("end")))))
+    last = KINDS.index("random")
+    random = F.filter("tested", lambda s: F.exists(found, lambda t: (t["class"] == s["class"]) & (s["step"] >= t["least"])))
+    every = F.array_sort(F.concat("base", F.transform(random, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(last).alias("order"), s["end"].alias("end")))))
+    # With each span the furthest end of the base spans before it.
+    reached = scan(every, lambda s: F.when(s["order"] < last, s["end"]).otherwise(0), F.greatest, F.lit(0))
+    new = F.filter(reached, lambda s: (s["item"]["order"] < last) | (s["item"]["end"] > s["before"]))
     names = F.array(*map(F.lit, KINDS))
-    return scanned.select("doc_id", F.transform(every, lambda s: F.struct(
-        F.get(names, s["order"]).alias("kind"), s["start"].cast("long").alias("start"), s["end"].cast("long").alias("end"),
-        (s["order"] < KINDS.index("random")).alias("base"))).alias("spans"))
+    return scanned.select("doc_id", F.transform(new, lambda s: F.struct(
+        F.get(names, s["item"]["order"]).alias("kind"), s["item"]["start"].cast("long").alias("start"),
+        s["item"]["end"].cast("long").alias("end"), (s["item"]["order"] < last).alias("base"))).alias("spans"))

@@ -12,6 +12,7 @@ their middle.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 import unicodedata
@@ -68,6 +69,11 @@ _BARE = re.compile(
     rf"|(?<!{_L}){_L}++[ \t]*@[ \t]*{_D}++(?:{_S}(?:{_DOT_WORD}){_S}{_D}++){{1,126}}", re.I)
 _BARE_MARK = re.compile(rf"{_S}(?:(?P<at>{_AT_WORD})|(?P<dot>{_DOT_WORD})){_S}|[ \t]*(?P<at2>@)[ \t]*", re.I)
 
+_DOT_MARK = re.compile(rf"[ \t](?:{_DOT_WORD})[ \t]", re.I)
+_AT_MARK = re.compile(rf"@|[ \t](?:{_AT_WORD})[ \t]", re.I)
+_BRACKET_HINT = re.compile(rf"{_OPEN}[ \t]*(?:{_AT_WORD}|{_DOT_WORD}|[@.])[ \t]*{_CLOSE}|&(?:#|commat;|period;)")
+_NO_WIDTH = re.compile(f"[{INVISIBLE}]")
+
 _WORDS = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(
     rf"(?<!\w)(?:(?:plus|\+)[ \t-]*)?+(?:(?:{_WORDS})|[0-9]+)(?!\w)"
@@ -77,8 +83,8 @@ _SPELLED_HINT = re.compile(rf"(?<!\w)(?:{_WORDS})[ \t,.-]+(?:(?:{_DOT_WORD})[ \t
 
 
 @functools.cache
-def _folds() -> tuple[dict[str, str], re.Pattern]:
-    """What becomes of single characters, and a pattern for those that change.
+def _folds() -> dict[str, str]:
+    """What becomes of single characters.
 
     Besides the listed look-alikes: digits of any script, spaces of any width, and
     characters whose compatibility form is one printable ASCII character.
@@ -95,7 +101,13 @@ def _folds() -> tuple[dict[str, str], re.Pattern]:
             table[char] = " "
         elif len(plain := unicodedata.normalize("NFKC", char)) == 1 and "!" <= plain <= "~":
             table[char] = plain
-    return table, re.compile("[" + "".join(map(re.escape, table)) + "]")
+    return table
+
+
+@functools.cache
+def _same_size() -> dict[int, str]:
+    """The folds that keep positions, for ``str.translate``."""
+    return {ord(old): new for old, new in _folds().items() if new}
 
 
 class Tape:
@@ -160,27 +172,46 @@ def _luhn(digits: list[int]) -> bool:
     return total % 10 == 0
 
 
+def _folded(text: str) -> Tape | None:
+    """The text with its look-alikes replaced and characters without width dropped, None if it has none."""
+    if text.isascii() or _folds().keys().isdisjoint(text):
+        return None
+    tape = Tape(text.translate(_same_size()))
+    if not _NO_WIDTH.search(text):
+        return tape
+    return tape.rewrite([(m.start(), m.end(), "") for m in _NO_WIDTH.finditer(text)])
+
+
+def _bare(text: str) -> Iterator[re.Match]:
+    """Addresses written out in words; each lies within a line and has a word for a dot."""
+    done = 0
+    for mark in _DOT_MARK.finditer(text):
+        if mark.start() >= done:
+            first, end = max(done, text.rfind("\n", 0, mark.start()) + 1), text.find("\n", mark.end())
+            done = end if end >= 0 else len(text)
+            if _AT_MARK.search(text, first, done):
+                yield from _BARE.finditer(text, first, done)
+
+
 def plain(text: str) -> Tape | None:
     """The text without its disguises, None if it has none."""
-    tape = Tape(text) if not text.isascii() and _folds()[1].search(text) else None
-    if tape:
-        table = _folds()[0]
-        tape = tape.rewrite([(m.start(), m.end(), table[m[0]]) for m in _folds()[1].finditer(text)])
+    tape = _folded(text)
     now = tape.text if tape else text
     low = now.lower()
-    marked = any(w in low for w in ("dot", "punkt", "punto", "point", "arroba", "arobase", "[at", "(at", "{at", "<at", "[ at", "( at", "{ at", "< at",
-                                    "[@", "(@", "{@", "[ @", "( @", "{ @", "&#", "&commat;", "&period;"))
-    if marked:
+    if _BRACKET_HINT.search(low):
         changes = [(m.start(), m.end(), "@" if m["at"] or m["at2"] is not None else ".") for m in _BRACKETED.finditer(now)]
         if changes:
             tape = (tape or Tape(text)).rewrite(changes)
             now = tape.text
+            low = now.lower()
+    if any(w in low for w in _DOT_WORD.split("|")):
         changes = [(m.start() + p.start(), m.start() + p.end(), "." if p["dot"] else "@")
-                   for m in _BARE.finditer(now) for p in _BARE_MARK.finditer(m[0])]
+                   for m in _bare(now) for p in _BARE_MARK.finditer(m[0])]
         if changes:
             tape = (tape or Tape(text)).rewrite(changes)
             now = tape.text
-    if _SPELLED_HINT.search(low if not marked else now.lower()):
+            low = now.lower()
+    if _SPELLED_HINT.search(low):
         changes = [change for m in _SPELLED.finditer(now) for change in _digits(m)]
         if changes:
             tape = (tape or Tape(text)).rewrite(changes)
@@ -211,9 +242,12 @@ def spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     found = [(*s, True) for s in base]
     tape = plain(text)
     if tape:
+        # Spans of a kind follow one another, so only the last that starts before can hold another one.
+        starts, ends = ({k: [s[i] for s in base if s[0] == k] for k in KINDS} for i in (1, 2))
         for kind, start, end in dict.fromkeys(
                 (k, tape.starts[s], tape.ends[e - 1]) for k, s, e in detect(tape.text)):
-            if not any(k == kind and s <= start and end <= e for k, s, e in base):
+            before = bisect.bisect_right(starts[kind], start)
+            if not before or ends[kind][before - 1] < end:
                 found.append((kind, start, end, False))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -225,7 +259,10 @@ def personal_spans(text: str | Column) -> Column:
     """Column of spans, array of (``kind``, ``start``, ``end``, ``base``), in code points of the whole text.
 
     Empty for a missing or empty text. Being a column, it leaves all rows and
-    other columns as they are.
+    other columns as they are. Texts of any length are searched whole, in time that
+    grows with their length. An address written out in words has at most 31 dots before
+    its "at" and 126 after it, as many as a local part of 64 and a domain of 253
+    characters can have; plain addresses have no such limit.
     """
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = ("kind", "start", "end", "base")

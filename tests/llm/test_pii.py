@@ -64,6 +64,64 @@ def test_ordinary_text_stays_clean():
         assert spans(text) == [], text
 
 
+DISGUISES = {
+    "email": [
+        lambda rng, t: t.replace("@", rng.choice([" [at] ", "(at)", " { at } ", "&#64;", "&commat;", "[@]", "＠"])),
+        lambda rng, t: t.replace("@", rng.choice(["(at)", " [arroba] "])).replace(".", rng.choice([" [dot] ", "(punto)", "[.]"])),
+        lambda rng, t: t.replace("@", rng.choice([" at ", " AT ", "\t arobase "])).replace(".", rng.choice([" dot ", " Punkt ", "  point "])),
+        lambda rng, t: t.replace("a", "а").replace("o", "ο").replace("e", "е"),
+        lambda rng, t: "".join(chr(ord(c) + 0xFEE0) for c in t),
+        lambda rng, t: t[0] + "\u200b" + t[1:],
+    ],
+    "ip": [
+        lambda rng, t: t.replace(".", rng.choice(["[.]", " (dot) ", "․"])),
+        lambda rng, t: "".join(chr(0x660 + int(c)) if c.isdigit() else c for c in t),
+        lambda rng, t: " ".join("dot" if c == "." else SPELLED[int(c)] for c in t),
+    ],
+    "card": [
+        lambda rng, t: rng.choice([" ", "-", ", "]).join(SPELLED[int(c)] for c in t),
+        lambda rng, t: "".join(chr(0x1D7CE + int(c)) for c in t),
+        lambda rng, t: t[:4] + "\u00a0" + t[4:8] + "‑" + t[8:],
+    ],
+    "phone": [
+        lambda rng, t: "plus " + " ".join(SPELLED[int(c)] for c in t[1:]),
+        lambda rng, t: t[:3] + "\u2009" + t[3:6] + "–" + t[6:],
+    ],
+}
+SPELLED = "zero one two three four five six seven eight nine".split()
+
+
+def test_identifiers_disguised_at_random():
+    """Base spans of plain texts, disguised: found where they stand in the source."""
+    rng = random.Random(11)
+
+    def card():
+        digits = [rng.randrange(10) for _ in range(15)]
+        return "".join(map(str, digits)) + next(str(k) for k in range(10) if len(detect("".join(map(str, digits)) + str(k))) == 1)
+
+    made = {"email": lambda: f"{rng.choice(['jane', 'pool.boy', 'aeon'])}@{rng.choice(['example.com', 'mail.example.org'])}",
+            "ip": lambda: ".".join(str(rng.randrange(100, 256)) for _ in range(4)), "card": card, "phone": lambda: f"+{rng.randrange(10**10, 10**12)}"}
+    fillers = ["Ordinary words; ", "Кто там? ", "x\n", "日本語 text: ", "(see) ", "naïve café, "]
+    for _ in range(1500):
+        text, expected = "", []
+        for _ in range(rng.randrange(1, 6)):
+            text += "".join(rng.choices(fillers, k=2))
+            kind = rng.choice(KINDS)
+            plain = made[kind]()
+            assert detect(plain) == [(kind, 0, len(plain))]
+            hidden = rng.choice(DISGUISES[kind])(rng, plain)
+            expected.append((kind, len(text), len(text) + len(hidden)))
+            text += hidden + rng.choice(["; ", "\n", " | "])
+        got = [s[:3] for s in spans(text)]
+        assert set(expected) <= set(got), (text, set(expected) - set(got))
+
+
+def test_plain_among_disguised_addresses_is_linear():
+    n = 40_000
+    found = spans("a@b.c, x at y dot org; " * n)
+    assert len(found) == 2 * n and sum(base for *_, base in found) == n
+
+
 def test_long_runs_are_linear():
     n = 200_000
     for text in ("a" * n, "1" * n, "1." * n, "a@" * n, "1 " * n, "a dot " * n, "one " * n, "+1" * n, "(at)" * n, "@" * n, "a at b dot " * n):

@@ -8,15 +8,17 @@ the threshold is skipped; in the others WAND moves a pivot over the posting list
 All items above the threshold are then verified: enough of the shingles of both the
 question and the answer have to stand in the passage.
 
-Items are indexed in shards of bounded size, which are sent to the tasks one by one;
-documents are only scanned. A document is searched within its row.
+Items are indexed in shards of bounded size, each sent to the tasks once; documents are
+only scanned. A document is searched within its row.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,21 +79,22 @@ class Index:
         self.stride = max((len(w) for _, _, w in self.items), default=1)
         self.block = max(LEAST, math.ceil(n / BLOCKS))
         self.maxima = np.zeros((len(holders), math.ceil(n / self.block)), np.float32)
-        self.postings: dict[tuple[int, int], Posting] = defaultdict(lambda: Posting([], []))
+        self.postings: dict[tuple[int, int], Posting] = {}
         for i, c in enumerate(counts):
             size = K1 * (1 - B + B * len(self.items[i][2]) / mean)
             parts = {t: math.log(1 + (n - holders[t] + 0.5) / (holders[t] + 0.5)) * f * (K1 + 1) / (f + size) for t, f in c.items()}
             whole = sum(parts.values())
             for t, part in parts.items():
                 term, block = self.vocabulary[t], i // self.block
-                self.postings[term, block].items.append(i)
-                self.postings[term, block].shares.append(part / whole)
+                posting = self.postings.setdefault((term, block), Posting([], []))
+                posting.items.append(i)
+                posting.shares.append(part / whole)
                 self.maxima[term, block] = max(self.maxima[term, block], np.float32(part / whole))
         self.shingles = [tuple(_shingles(words(part)) for part in question_and_answer(t)) for _, t, _ in self.items]
 
-    def search(self, documents: list[list[str]]) -> list[dict[int, tuple[int, float]]]:
-        """For each document the items above the threshold with their best passage's first word and score."""
-        hits: list[dict[int, tuple[int, float]]] = [{} for _ in documents]
+    def search(self, documents: list[list[str]]) -> list[dict[int, list[tuple[int, float]]]]:
+        """For each document the items above the threshold, each with first word and score of all its passages."""
+        hits: list[dict[int, list[tuple[int, float]]]] = [{} for _ in documents]
         if not self.items:
             return hits
         get, n = self.vocabulary.get, len(self.vocabulary)
@@ -116,9 +119,7 @@ class Index:
             k = int(np.searchsorted(first, p, side="right")) - 1
             held = [terms[ends[place[c]]:ends[place[c] + 1]] for c in ((p, p + 1) if together[p] else (p,)) if c in place]
             for item, score in self._wand(np.unique(np.concatenate(held)).tolist(), block):
-                at = (p - int(first[k])) * self.stride
-                if item not in hits[k] or score > hits[k][item][1]:
-                    hits[k][item] = (at, score)
+                hits[k].setdefault(item, []).append(((p - int(first[k])) * self.stride, score))
         return hits
 
     def _wand(self, terms: list[int], block: int) -> Iterator[tuple[int, float]]:
@@ -147,55 +148,67 @@ class Index:
                     x[0] += 1
             lists = [x for x in lists if x[0] < len(x[1].items)]
 
-    def leaks(self, texts: list[str | None]) -> list[list[dict]]:
-        """Verified hits of each text, by item."""
-        out: list[list[dict]] = []
-        block: list[list[str]] = []
-        size = 0
-        for k, text in enumerate(texts):
-            block.append(words(text))
-            size += len(block[-1])
-            if size >= TOGETHER or k + 1 == len(texts):
-                out += [self._verified(d, h) for d, h in zip(block, self.search(block))]
-                block, size = [], 0
-        return out
-
-    def _verified(self, document: list[str], hits: dict[int, tuple[int, float]]) -> list[dict]:
-        found = []
-        for item, (at, score) in sorted(hits.items()):
+    def leaks(self, documents: list[list[str]]) -> list[list[dict]]:
+        """Verified hits of each document, by item."""
+        return [self._verified(d, h) for d, h in zip(documents, self.search(documents))]
+
+    def _verified(self, document: list[str], hits: dict[int, list[tuple[int, float]]]) -> list[dict]:
+        """The items of which enough stands in a passage, with the best passage in which it does."""
+        @functools.lru_cache(maxsize=64)
+        def shingles(at: int, n: int) -> set[tuple[str, ...]]:
             passage = document[at:at + 2 * self.stride]
-            shares = []
-            for part in self.shingles[item]:
-                n = len(next(iter(part))) if part else 0
-                here = {tuple(passage[i:i + n]) for i in range(len(passage) - n + 1)}
-                shares.append(len(part & here) / len(part) if part else 1.0)
-            if min(shares) >= OVERLAP:
-                found.append({"item_id": self.items[item][0], "passage": at, "score": score,
-                              "question_overlap": shares[0], "answer_overlap": shares[1]})
+            return {tuple(passage[i:i + n]) for i in range(len(passage) - n + 1)}
+
+        found = []
+        for item, passages in sorted(hits.items()):
+            for at, score in sorted(passages, key=lambda x: (-x[1], x[0])):
+                shares = [len(part & shingles(at, len(next(iter(part))))) / len(part) if part else 1.0 for part in self.shingles[item]]
+                if min(shares) >= OVERLAP:
+                    found.append({"item_id": self.items[item][0], "passage": at, "score": score,
+                                  "question_overlap": shares[0], "answer_overlap": shares[1]})
+                    break
         return found
 
 
 def leaks(text: str | Column, items: DataFrame, item_id: str = "item_id", item_text: str = "text", shard: int = SHARD) -> Column:
     """Column with the leaked items of the whole text: (``item_id, passage, score, question_overlap, answer_overlap``).
 
-    ``passage`` is the place of its first word. Words are lower-cased runs of letters
-    and digits; items without a word cannot leak, equal items are reported each, a
-    missing id stays missing. Empty for a missing or empty text and without items.
-    Being a column, it leaves all rows and other columns as they are.
+    Every passage that reaches the threshold for an item is verified; the best one that
+    holds the item is reported, ``passage`` being the place of its first word. Words are
+    lower-cased runs of letters and digits; items without a word cannot leak, equal
+    items are reported each, a missing id stays missing. Empty for a missing or empty
+    text and without items. Texts of any length are searched whole; passages are twice as
+    long as the longest item of the shard, so very long items belong into a run of their
+    own. Being a column, it leaves all rows and other columns as they are.
+
+    Items pass the driver one shard at a time; its index is made there once and sent to
+    the tasks as a broadcast of bounded size. A text is split once for all shards.
     """
+    spark = items.sparkSession
     usable = items.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
     chars = usable.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, math.ceil(chars / shard))
     number = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
-    found = [_leaks_of(text, sorted(((r.id, r.text) for r in usable.where(number == k).collect()), key=lambda x: (x[0] is None, x)))
-             for k in range(shards)]
-    return F.concat(*found)
-
+    indexes = [spark.sparkContext.broadcast(Index(sorted(
+        ((r.id, r.text) for r in usable.where(number == k).collect()), key=lambda x: (x[0] is None, x)))) for k in range(shards)]
 
-def _leaks_of(text: str | Column, items: list[tuple[int | None, str]]) -> Column:
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Index(items)
         for batch in batches:
-            yield pa.array(index.leaks(batch.to_pylist()), _TYPE)
+            yield pa.array([hits for block in _blocks(batch.to_pylist()) for hits in map(
+                list, map(itertools.chain.from_iterable, zip(*(index.value.leaks(block) for index in indexes))))], _TYPE)
 
     return F.arrow_udf(find, HITS)(text)
+
+
+def _blocks(texts: list[str | None]) -> Iterator[list[list[str]]]:
+    """The texts' words, some texts together."""
+    block: list[list[str]] = []
+    size = 0
+    for text in texts:
+        block.append(words(text))
+        size += len(block[-1])
+        if size >= TOGETHER:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block

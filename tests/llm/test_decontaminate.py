@@ -33,9 +33,9 @@ def test_search_finds_all_above_the_threshold():
             expected = {}
             for row in brute_scores(items, passages):
                 for i, score in enumerate(row):
-                    if score >= threshold:
-                        expected[i] = max(score, expected.get(i, 0))
-            assert {i: round(score, 9) for i, (_, score) in hits.items()} == {i: round(x, 9) for i, x in expected.items()}
+                    if score >= threshold - 1e-9:
+                        expected.setdefault(i, []).append(round(score, 9))
+            assert {i: sorted(round(score, 9) for _, score in found) for i, found in hits.items()} == {i: sorted(x) for i, x in expected.items()}
 
 
 def test_question_and_answer_are_both_needed():
@@ -43,11 +43,27 @@ def test_question_and_answer_are_both_needed():
     index = d.Index([(7, item), (8, "Another item with quite different words in it. And an answer that differs too.")])
     question, answer = d.question_and_answer(item)
     noise = "some other text " * 20
-    found = index.leaks([noise + item.upper().replace(" ", "\n") + noise, noise + question + noise, noise + answer, None, "", noise, item])
+    found = index.leaks([d.words(t) for t in (noise + item.upper().replace(" ", "\n") + noise, noise + question + noise, noise + answer, None, "", noise, item)])
     assert [[h["item_id"] for h in f] for f in found] == [[7], [], [], [], [], [], [7]]
     assert d.question_and_answer("One only.") == ("One only.", "") and d.question_and_answer("A b. C d.") == ("A b.", "C d.")
 
 
+def test_every_passage_above_the_threshold_is_verified():
+    """The item's words in disorder score as much as the item, and come first."""
+    rng = random.Random(8)
+    item = "Which river joins the northern lake after the last of the seven great falls near town?\nThe small green river that rises below the old stone bridge."
+    index = d.Index([(7, item), (8, "Another item with quite different words in it. And an answer that differs too.")])
+    filler = [f"filler{i}" for i in range(200)]
+    for order in ("shuffled first", "item first"):
+        shuffled = d.words(item) * 2
+        rng.shuffle(shuffled)
+        parts = [shuffled, filler, d.words(item)]
+        document = sum(parts if order == "shuffled first" else parts[::-1], [])
+        assert len(index.search([document])[0][0]) >= 2
+        assert [h["item_id"] for h in index.leaks([document])[0]] == [7]
+    assert index.leaks([shuffled + filler]) == [[]]
+
+
 def test_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     items = {r.item_id: d.words(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}

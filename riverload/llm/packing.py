@@ -17,6 +17,7 @@ all pieces have is ranked by many tasks.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -42,58 +43,42 @@ PIECES = "array<struct<piece int, start long, length int, ids_crc32 long>>"
 _PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())]))
 
 
-class Encoder:
+_SPACE = r" \t\n\r\x0b\x0c"
+
+
+class Encoder(dict):
     """Token ids of whole texts as little-endian unsigned 32-bit integers.
 
-    The byte-level BPE splits a text into words first, and always before a space
-    that a non-space follows; so texts without other white space beside a space are
-    cut there, and the ids of the parts remembered. ``tiktoken`` and ``tokenizers``
-    give equal ids for one vocabulary; characters beyond U+024F, for which the
-    libraries' character tables might differ, go to ``tokenizers`` itself.
+    A byte-level BPE never joins what stands on both sides of a blank: a word takes one
+    space before it, white space before that is a part of its own. So a text is cut into
+    such parts, and their ids are remembered. What could be cut otherwise, texts with
+    white space beyond ASCII or with a special token, is encoded whole.
     """
 
-    def __init__(self, tokenizer_path: str, ranks_path: str, pattern: str):
-        import base64
-        import re
+    parts = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+    other_space = re.compile(rf"[^\S{_SPACE}]")
 
-        import tiktoken
+    def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.slow = Tokenizer.from_file(tokenizer_path)
-        self.slow.encode_special_tokens = True  # their strings are ordinary text
-        self.rare = re.compile("[^\x00-ɏ]")
-        self.irregular = re.compile(r" (?=\s|$)|\s (?=\S)")
-        self.known: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> bytes:
-        if self.irregular.search(text):
+        if self.other_space.search(text) or any(t in text for t in self.special):
             return self.encode(text)
-        first, *rest = text.split(" ")
-        known, parts = self.known, [self.word(first)]
-        for word in rest:
-            ids = known.get(word)
-            parts.append(ids if ids is not None else self.word(" " + word, word))
-        return b"".join(parts)
-
-    def word(self, word: str, name: str | None = None) -> bytes:
-        ids = self.encode(word)
-        if name is not None and len(name) <= LONGEST:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[name] = ids
+        if len(self) >= REMEMBERED:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.parts.findall(text)))
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.encode(part)
+        if len(part) <= LONGEST:
+            self[part] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.rare.search(text):
-            found = self.slow.encode(text, add_special_tokens=False).ids
-        else:
-            found = self.fast.encode_ordinary(text)
-        return np.asarray(found, "<u4").tobytes()
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=2)

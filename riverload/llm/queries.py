@@ -150,16 +150,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def bpe_encoder(folder: str) -> packing.Encoder:
-    """The byte-level BPE of 50,257 ids; its word pattern is a fixed value of that vocabulary."""
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    return packing.Encoder(f"{folder}/byte_bpe_50k.json", f"{folder}/byte_bpe_50k.tiktoken", pattern)
+def bpe_path() -> str:
+    """The tokenizer of the packing."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 @registry.add()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), bpe_encoder, TOKENIZERS)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.Encoder, bpe_path())
 
 
 @registry.add("""

@@ -7,23 +7,23 @@ import pytest
 
 import __spark_entry__ as contract
 from riverload.llm import packing
-from riverload.llm.queries import TOKENIZERS, bpe_encoder
+from riverload.llm.queries import bpe_path
 
 ODD = ["", " ", "  ", "a", " a", "a  b", "a   b ", "a \nb", "a\n b", "a  b", "a  b", "don't we'll", "x  ", "\n\n", "日本語 テスト", "𝄞 x", "<|endoftext|> a", "1 2  3",
+       "a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|", "a\r\nb", "a\r b\r", "\x0b\x0c a\x0bb", "\x00 a\x01", "a\x1f b", "\x1c", "a\u2028b", "  \n\n  a", "\t\t\t", " " * 99 + "b",
        "é" * 40, "a" * 2000, "\t a", "a　 b", "a \x1c b", "a\x85 b", "a ​ b"]
 
 
 def reference():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(f"{TOKENIZERS}/byte_bpe_50k.json")
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(bpe_path())
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_against_tokenizers():
-    encoder, expected, rng = bpe_encoder(TOKENIZERS), reference(), random.Random(2)
-    parts = ["the", "Wh", " ", " ", " ", "\n", "\t", "é", "ß", "12", "'s", "...", "日", " ", "**", "İ", "а"]
+    encoder, expected, rng = packing.Encoder(bpe_path()), reference(), random.Random(2)
+    parts = ["the", "Wh", " ", " ", " ", "\n", "\t", "é", "ß", "12", "'s", "...", "日", " ", "**", "İ", "а", "\r", "\x0b", "\x0c", "\x85", "\xa0", "\x1d", "\u3000", "\ufeff", "\u200b", "<|endoftext|>", "e\u0301", "🙂"]
     texts = ODD + ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(4000)]
     for text in texts:
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == expected(text), repr(text)
@@ -61,8 +61,8 @@ def test_query_against_brute_force(spark):
 def test_odd_rows(spark):
     texts = [(None, None), (1, ""), (1, ""), (2, "word " * 5000), (2, "word " * 5000), (None, "x"), *((9, t) for t in ODD)] + [(7, "same text")] * 50
     df = spark.createDataFrame([(i, t, 3, "x") for i, t in texts], "doc_id long, text string, rank int, length string")
-    check(packing.pack_documents(df, bpe_encoder, TOKENIZERS).collect(), texts)
-    assert packing.pack_documents(df.limit(0), bpe_encoder, TOKENIZERS).count() == 0
+    check(packing.pack_documents(df, packing.Encoder, bpe_path()).collect(), texts)
+    assert packing.pack_documents(df.limit(0), packing.Encoder, bpe_path()).count() == 0
 
 
 @pytest.mark.parametrize("seed", range(3))

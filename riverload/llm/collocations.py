@@ -40,6 +40,9 @@ CELLS, BYTES = (16, 25), 32
 BLOCK, TOGETHER = 1 << 16, 1_500_000
 #: Different grams that a task holds at most.
 HELD = 1_000_000
+#: Bytes of text for a task, where there are enough for all cores: what a task sends, its cells and the grams that are
+#: common everywhere, hardly grows with what it reads.
+READ = 64_000_000
 #: Most languages whose word numbers are broadcast.
 LANGUAGES = 10_000
 #: Edges in one row of a compacted path; a longer path takes several rows.
@@ -192,6 +195,7 @@ def count_grams(texts: DataFrame, least: int = LEAST) -> DataFrame:
     spark = texts.sparkSession
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     power = min(max((chars // BYTES).bit_length(), CELLS[0]), CELLS[1])
+    texts = texts.coalesce(max(chars // READ, spark.sparkContext.defaultParallelism))
     frequent = spark.sparkContext.broadcast(frequent_cells(texts, least, power))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverload.llm import decontaminate, line_dedup, packing, quality, simhash
-from riverload.llm.queries import GOOD_FROM, TOKENIZERS, bpe_encoder, table
+from riverload.llm.queries import GOOD_FROM, bpe_path, table
 from riverload.stages import Stages
 
 
@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces of all documents in sequences of 2048 tokens."""
-    return packing.pack_documents(docs, bpe_encoder, TOKENIZERS)
+    return packing.pack_documents(docs, packing.Encoder, bpe_path())
 
 
 STAGES = [

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -44,35 +45,64 @@ _PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("le
 
 
 _SPACE = r" \t\n\r\x0b\x0c"
+#: Characters whose class every version of the tables agrees on, by class.
+_KNOWN = 0x24F
+
+
+def _of_kind(kind: str) -> str:
+    return "".join(re.escape(chr(c)) for c in range(_KNOWN + 1) if unicodedata.category(chr(c))[0] == kind)
 
 
 class Encoder(dict):
-    """Token ids of whole texts as little-endian unsigned 32-bit integers.
+    """Token ids of whole texts as little-endian unsigned 32-bit integers, by ``tokenizers``.
 
-    A byte-level BPE never joins what stands on both sides of a blank: a word takes one
-    space before it, white space before that is a part of its own. So a text is cut into
-    such parts, and their ids are remembered. What could be cut otherwise, texts with
-    white space beyond ASCII or with a special token, is encoded whole.
+    A byte-level BPE cuts a text into words first, by a fixed pattern, and joins nothing
+    across their bounds. Texts are cut here, and the ids of the words, by the tokenizer's
+    model, remembered. A text with other characters than Latin ones is cut at its blanks
+    alone, and such parts go through the whole tokenizer; so do texts with white space
+    beyond ASCII or with a special token, and all texts if the tokenizer cuts otherwise.
     """
 
+    # Fixed value: the words of this kind of tokenizer.
+    words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_of_kind('L')}]+| ?[{_of_kind('N')}]+| ?[^{_SPACE}{_of_kind('L')}{_of_kind('N')}]+"
+                       rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
     parts = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
     other_space = re.compile(rf"[^\S{_SPACE}]")
+    other = re.compile(f"[^\0-{chr(_KNOWN)}]")
 
     def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        first = self.tokenizer.pre_tokenizer
+        self.usual = (self.tokenizer.normalizer is None and isinstance(first, pre_tokenizers.ByteLevel)
+                      and first.use_regex and not first.add_prefix_space)
+        # A byte's character in the vocabulary, as the tokenizer itself writes it.
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        single = {b: shown.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        pairs = {c: shown.pre_tokenize_str(chr(c))[0][0] for c in range(128, 2048)}
+        for c, text in pairs.items():
+            single |= dict(zip(chr(c).encode(), text))
+        self.bytes_shown = single
 
     def ids(self, text: str) -> bytes:
-        if self.other_space.search(text) or any(t in text for t in self.special):
+        if not self.usual or self.other_space.search(text) or any(t in text for t in self.special):
             return self.encode(text)
         if len(self) >= REMEMBERED:
             self.clear()
-        return b"".join(map(self.__getitem__, self.parts.findall(text)))
+        cut = self.parts if self.other.search(text) else self.words
+        return b"".join(map(self.__getitem__, cut.findall(text)))
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.encode(part)
+        if self.other.search(part):
+            ids = self.encode(part)
+        elif len(cut := self.words.findall(part)) > 1:
+            ids = b"".join(map(self.__getitem__, cut))
+        else:
+            shown = part.encode().decode("latin-1").translate(self.bytes_shown)
+            ids = np.asarray([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
         if len(part) <= LONGEST:
             self[part] = ids
         return ids

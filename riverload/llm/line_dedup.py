@@ -5,10 +5,10 @@ by aggregation, combined before the shuffle. Lines whose estimate is near the
 threshold get an exact distinct count; the others are decided by the sketch.
 
 Lines travel as two 64-bit hashes, and only the lines to remove come back to the
-documents. A document that consists of shared lines for its greater part is a copy
-of other documents rather than a page with boilerplate around it: its lines stay,
-because removing them from all copies would lose the text, and because finding
-copies is the work of near-duplicate detection.
+documents. On request, a document that consists of shared lines for its greater part
+keeps them: it is a copy of other documents rather than a page with boilerplate around
+it, and removing its lines from all copies would lose the text where finding copies is
+the work of near-duplicate detection.
 """
 
 from __future__ import annotations
@@ -47,16 +47,17 @@ def shared_lines(lines: DataFrame, min_sites: int, lg_k: int = 12) -> DataFrame:
     return stages.write(sure.select("h1", "h2").union(exact.select("h1", "h2")), "shared")
 
 
-def drop_shared_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20, copy_share: float = 0.5, lg_k: int = 12,
+def drop_shared_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 1, copy_share: float | None = None, lg_k: int = 12,
                       site: str = "source", text: str = "text") -> DataFrame:
     """The documents without the lines that at least ``min_sites`` sites share.
 
     All columns stay, ``text`` is replaced, and ``shared_lines`` (of the document),
     ``removed_lines`` and ``removed_chars`` are added, replacing columns of these
-    names. Lines are compared without leading and trailing spaces. Lines shorter
-    than ``min_chars`` characters are never boilerplate: such scraps recur by
-    chance. If shared lines hold ``copy_share`` or more of a document's characters,
-    nothing is removed from it.
+    names. Lines are compared without leading and trailing spaces; blank lines are none.
+
+    Two exceptions can be asked for. Lines shorter than ``min_chars`` characters stay:
+    such scraps recur by chance. With ``copy_share``, nothing is removed from a document
+    of whose characters shared lines hold that share or more: it is a copy of others.
 
     One row per row: repeated rows stay and get equal results. A missing text stays
     missing, an empty one empty; a document without site keeps the lines it has
@@ -66,7 +67,7 @@ def drop_shared_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20,
     key = F.xxhash64(text, F.col("doc_id"))
     listed = docs.select(F.col("doc_id"), key.alias("row_key"), F.col(site).cast("string").alias("site"), F.posexplode(line_hashes(F.col(text))).alias("pos", "line"))
     lines = stages.write(
-        listed.where(F.col("line.chars") >= min_chars).select("doc_id", "row_key", "site", "pos", "line.h1", "line.h2", "line.chars"), "lines")
+        listed.where(F.col("line.chars") >= max(1, min_chars)).select("doc_id", "row_key", "site", "pos", "line.h1", "line.h2", "line.chars"), "lines")
     shared = shared_lines(lines.select("h1", "h2", "site"), min_sites, lg_k)
     found = (lines.join(shared, ["h1", "h2"], "left_semi")
              .groupBy("row_key", F.col("doc_id").alias("row_id")).agg(F.collect_set(F.struct("pos", "chars")).alias("found"))
@@ -79,7 +80,9 @@ def drop_shared_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 20,
         (F.col("__line_dedup_key") == F.col("__line_dedup_found.row_key")) & F.col("doc_id").eqNullSafe(F.col("__line_dedup_found.row_id")), "left")
     split = F.split(F.col(text), "\n")
     total = F.aggregate(split, F.lit(0).cast("long"), lambda n, x: n + F.length(F.trim(x)))
-    boiler = F.col("__line_dedup_found").isNotNull() & (F.col("__line_dedup_found.chars") < copy_share * total)
+    boiler = F.col("__line_dedup_found").isNotNull()
+    if copy_share is not None:
+        boiler &= F.col("__line_dedup_found.chars") < copy_share * total
     rest = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__line_dedup_found.places"))
     # The outer transform binds the split lines to a variable, so that they are split once and not for each line.
     cleaned = F.transform(F.array(split), lambda s: F.array_join(F.transform(rest, lambda i: F.element_at(s, i + 1)), "\n"))[0]

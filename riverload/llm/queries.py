@@ -126,15 +126,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH lines AS (
  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents
 ), trimmed AS (SELECT doc_id, source, line, pos, trim(line, ' ') AS bare FROM lines),
-shared AS (SELECT bare FROM trimmed WHERE length(bare) >= 20 GROUP BY bare HAVING count(DISTINCT source) >= 10),
+shared AS (SELECT bare FROM trimmed WHERE length(bare) > 0 GROUP BY bare HAVING count(DISTINCT source) >= 10),
 marked AS (SELECT t.*, s.bare IS NOT NULL AS hit FROM trimmed t LEFT JOIN shared s USING (bare)),
 judged AS (
  SELECT *, CAST(sum(CASE WHEN hit THEN length(bare) ELSE 0 END) OVER (PARTITION BY doc_id) AS BIGINT) AS chars,
-  CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS BIGINT) AS n, sum(length(bare)) OVER (PARTITION BY doc_id) AS total FROM marked
+  CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS BIGINT) AS n FROM marked
 )
-SELECT d.doc_id, CASE WHEN max(n) > 0 AND max(chars) < 0.5 * max(total) THEN coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hit), '') ELSE max(d.text) END AS text,
- max(n) AS shared_lines, CASE WHEN max(chars) < 0.5 * max(total) THEN max(n) ELSE 0 END AS removed_lines,
- CASE WHEN max(chars) < 0.5 * max(total) THEN max(chars) ELSE 0 END AS removed_chars
+SELECT d.doc_id, CASE WHEN max(n) > 0 THEN coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hit), '') ELSE max(d.text) END AS text,
+ max(n) AS shared_lines, max(n) AS removed_lines, max(chars) AS removed_chars
 FROM documents d JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id
 """)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,13 +110,15 @@ def keep_one(docs: DataFrame, words: int = 3, bits: int = 3, segments: int = 2,
     rows any one stays.
     """
     hashes = [F.xxhash64(F.col(id_column), "text"), F.xxhash64(F.lit(1), F.col(id_column), "text")]
-    names = ["__simhash_row", "__simhash_check"]
+    names = ["hash", "check"]
     printed = docs.select(F.col(id_column).alias("doc_id"), fingerprint("text", words).alias("print"), *[h.alias(n) for h, n in zip(hashes, names)])
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", *names)
     firsts = (_grouped(printed, bits, segments).groupBy("component").agg(F.min(order).alias("least"))
               .select(*[F.col(f"least.{n}").alias(n) for n in names]))
-    # The rows lie by these hashes after the join already, so dropping repeats moves nothing.
-    return docs.withColumns(dict(zip(names, hashes))).join(firsts, names, "left_semi").dropDuplicates(names).select(docs.columns)
+    # The row travels as one column, whose fields may have any names. The rows lie by
+    # these hashes after the join already, so dropping repeats moves nothing.
+    rows = docs.select(F.struct("*").alias("row"), *[h.alias(n) for h, n in zip(hashes, names)])
+    return rows.join(firsts, names, "left_semi").dropDuplicates(names).select("row.*")
 
 
 def _grouped(printed: DataFrame, bits: int, segments: int) -> DataFrame:

@@ -21,10 +21,12 @@ def test_lines_of_many_sites_go(spark):
     assert all(r[3] == 0 and r[2] == 0 for r in clean(spark, rows, min_sites=4))
 
 
-def test_copies_and_short_lines_stay(spark):
+def test_copies_and_short_lines_stay_if_asked(spark):
     rows = [(i, body(0), f"s{i}") for i in range(5)] + [(9 + i, f"Yes.\n{body(9 + i)}", f"s{i}") for i in range(5)]
-    assert {(r[1], r[3]) for r in clean(spark, rows, min_sites=3)} == {(t, 0) for _, t, _ in rows}
-    assert {r[2] for r in clean(spark, rows, min_sites=3) if r[0] < 5} == {2}
+    asked = clean(spark, rows, min_sites=3, min_chars=20, copy_share=0.5)
+    assert {(r[1], r[3]) for r in asked} == {(t, 0) for _, t, _ in rows}
+    assert {r[2] for r in asked if r[0] < 5} == {2}
+    assert {(r[1], r[3]) for r in clean(spark, rows, min_sites=3)} == {("", 2)} | {(t.split("\n", 1)[1], 1) for _, t, _ in rows[5:]}
 
 
 def test_odd_rows(spark):

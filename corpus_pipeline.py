@@ -26,8 +26,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def shared_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten sites share; ``n_chars`` follows the text."""
-    cleaned = line_dedup.drop_shared_lines(docs)
+    """Documents without the lines that ten sites share; ``n_chars`` follows the text.
+
+    Documents that are shared lines for their greater part are copies: the next stage
+    keeps one of each group, so their text has to be there still. Lines of less than
+    20 characters say too little to be taken for boilerplate.
+    """
+    cleaned = line_dedup.drop_shared_lines(docs, min_chars=20, copy_share=0.5)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return cleaned.select(docs.columns)

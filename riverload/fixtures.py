@@ -24,7 +24,7 @@ TABLES = {
 }
 
 # Views of the check's SQL that are read several times and computed once.
-MATERIALIZED = {"latest", "clean", "grid", "known", "ratio"}
+MATERIALIZED = {"latest", "clean", "grid", "known", "ratio", "plant_rows", "plant_days", "plant_known", "plant_load", "plant_ratio"}
 
 # Each view may use the test tables and the views before it.
 VIEWS = {

@@ -93,13 +93,35 @@ GROUP BY DT, Code_SANDRE, {_PLANT}, Pt_SANDRE, Code_sandre_parametre, Lib_court_
   round(coalesce(sum(Flux_kg_j), 0) + 3.14159e-11, 9) AS Flux_annuel_kg_an FROM daily_scl
 GROUP BY DT, Code_SANDRE, {_NETWORK}, Pt_SANDRE, Code_sandre_parametre, Lib_court_parametre, Annee""",
 }
+# The plants alone, by plain equality (no key of a day is ever missing), each step computed once.
+_USING = ", ".join(_GRID_KEYS)
+PLANT_VIEWS = {name: CLEAN_VIEWS[name] for name in CLEAN_VIEWS} | {
+    "plant_rows": "SELECT * FROM clean WHERE kind = 'STEP' AND Pt_SANDRE IN ('A1','R1','A2','A4','A5')",
+    "plant_days": f"""SELECT d.*, p.Code_sandre_parametre, p.Symbole_unite, p.Lib_court_parametre,
+  year(Date_debut_prel) AS Annee, month(Date_debut_prel) AS Mois
+FROM (SELECT DISTINCT DT, {_DAY}, {_PLANT}, Val_resultat_analyse AS Debit_m3j, {_REMARKS} FROM plant_rows
+  WHERE Code_sandre_parametre = '1552' AND Val_resultat_analyse IS NOT NULL) d,
+ (SELECT * FROM parameter_dim WHERE Code_sandre_parametre IN {_POLLUTANTS}) p""",
+    "plant_known": f"""SELECT {_USING}, Val_resultat_analyse AS Concentration FROM plant_rows
+WHERE Code_sandre_parametre IN {_POLLUTANTS} AND Val_resultat_analyse IS NOT NULL""",
+    "plant_load": f"""SELECT g.*, k.Concentration, k.Concentration * g.Debit_m3j * 1e-3 AS Flux_kg_j,
+  'Flux jour Bilan 24h' AS Source_concentration FROM plant_days g JOIN plant_known k USING ({_USING})""",
+    "plant_ratio": """SELECT Code_SANDRE, Code_sandre_parametre, Annee, avg(Flux_kg_j) / nullif(avg(Debit_m3j), 0) * 1e3 AS C_pond
+FROM plant_load WHERE Pt_SANDRE = 'A4' GROUP BY Code_SANDRE, Code_sandre_parametre, Annee""",
+    "plant_open": f"""SELECT g.*, CASE WHEN g.Pt_SANDRE = 'A4' THEN r.C_pond END AS C_pond FROM plant_days g
+LEFT JOIN (SELECT DISTINCT {_USING}, 1 AS measured FROM plant_known) k USING ({_USING})
+LEFT JOIN plant_ratio r USING (Code_SANDRE, Code_sandre_parametre, Annee) WHERE k.measured IS NULL""",
+    "plant_imputed": """SELECT * EXCLUDE (C_pond, Derniere_qualif_analyse), CAST(NULL AS VARCHAR) AS Derniere_qualif_analyse, C_pond AS Concentration,
+  CASE WHEN Debit_m3j > 0 THEN C_pond * Debit_m3j * 1e-3 END AS Flux_kg_j,
+  CASE WHEN C_pond IS NOT NULL AND Debit_m3j > 0 THEN 'Flux estimé reconstitué' END AS Source_concentration FROM plant_open""",
+}
 _DAILY = f"""DT, {_DAY}, Debit_m3j, {_REMARKS}, Code_sandre_parametre, Symbole_unite,
   Lib_court_parametre, round(Concentration + 3.14159e-11, 9) AS Concentration, Annee, Mois,
   round(Flux_kg_j + 3.14159e-11, 9) AS Flux_kg_j, Source_concentration"""
 
 
-def _sql(body: str) -> str:
-    return with_views(body, extra=MEASURE_VIEWS)
+def _sql(body: str, views: dict[str, str] = MEASURE_VIEWS) -> str:
+    return with_views(body, extra=views)
 
 
 def _steady(column: str):
@@ -195,7 +217,7 @@ def zero_flow_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.zero_flow_days(flagged, t.parameter_dim_kept()).drop(*NETWORK_ATTRIBUTES)
 
 
-@registry.add(_sql(f"SELECT {_DAILY} FROM imputed"))
+@registry.add(_sql(f"SELECT {_DAILY} FROM plant_imputed", PLANT_VIEWS))
 def imputed_load_of_plants(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Loads(spark, sf_dir)
     days, conc = t.days_and_concentrations(KIND_PLANT)
@@ -220,7 +242,8 @@ def network_days_to_estimate_unmeasured(spark: SparkSession, sf_dir: str) -> Dat
             .drop(*NETWORK_ATTRIBUTES))
 
 
-@registry.add(_sql(f"SELECT {_DAILY}, {_PLANT}, CAST(NULL AS VARCHAR) AS Code_remarque FROM daily_step"))
+@registry.add(_sql(f"SELECT {_DAILY}, {_PLANT}, CAST(NULL AS VARCHAR) AS Code_remarque "
+                   "FROM (SELECT * FROM plant_load UNION ALL BY NAME SELECT * FROM plant_imputed)", PLANT_VIEWS))
 def daily_loads_of_plants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.sorted_daily(_rounded(Loads(spark, sf_dir).daily(KIND_PLANT)))
 

@@ -1,20 +1,21 @@
 """From every discharge point up the network to the origins of its pollution.
 
-All discharge points walk at the same time. The state is one row per
-(discharge point, reached site); a pass expands only the sites found by the
-pass before, so a site is expanded once per discharge point.
+All discharge points walk at the same time, and they share their ways: the walk starts
+from the different sites directly upstream of any of them, and the discharge points are
+put in front at the end, one link further. The state is one row per (first site, reached
+site), laid out by these keys; a pass expands only the sites found by the pass before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riverload.fixed_values import STOP_TYPES, TYPE_DISCHARGE
 from riverload.functions.joins import members, null_safe_join
-from riverload.stages import Stages
+from riverload.stages import KeyedTable, Stages
 
 
 def discharge_points(nodes: DataFrame, site_type: str = TYPE_DISCHARGE) -> DataFrame:
@@ -31,30 +32,28 @@ def upstream_walk(
 
     ``depth`` is the smallest number of links to the seed. Stop types are
     reached but not passed; an upstream id that is no node is ignored; a cycle
-    ends because a site is kept once per seed, however long the way. Each pass is
-    written as a stage.
+    ends because a site is kept once per closure, however long the way.
     """
     stages = Stages(nodes.sparkSession, "walk")
-    stop_types = list(stop_types)
-    upstream = nodes.select(F.col("identifiant").alias("up"), "No_Type_Sitou").distinct()
-    edges = stages.write(
-        null_safe_join(
-            links.select(F.col("No_Sitou").alias("down"), F.col("No_Sitou_Am").alias("up")).distinct(),
-            upstream, "up"),
-        "edges")
-    start = members(upstream.where(F.col("up").isNotNull()), "up", seeds, "identifiant")
-    found = [stages.write(
-        start.select(F.col("up").alias("seed"), F.col("up").alias("identifiant"), "No_Type_Sitou",
-                     F.lit(0).alias("depth")), "pass-0")]
-    frontier, depth, more = found[0], 0, True
-    while more:
-        depth += 1
-        reached = (null_safe_join(frontier.select("seed", "identifiant"), edges, [("identifiant", "down")])
-                   .select("seed", F.col("up").alias("identifiant"), "No_Type_Sitou"))
-        new, more = _write_new(stages, depth, _all_passes(found), reached, stop_types)
-        found.append(new)
-        frontier = new.where(_passable(stop_types))
-    return _all_passes(found)
+    listed = nodes.select(
+        "identifiant", "No_Type_Sitou", _key("identifiant", "No_Type_Sitou").alias("site"),
+        (~F.coalesce(F.col("No_Type_Sitou").isin(*stop_types), F.lit(False))).alias("passable")).distinct()
+    sites = stages.write(listed, "sites")
+    steps = stages.keyed("steps", ["site"], "site string, up string, passable boolean")
+    steps.add(_steps(sites, links))
+    known = members(sites.where(F.col("identifiant").isNotNull()), "identifiant", seeds, "identifiant")
+    start = stages.write(known.select(F.col("identifiant").alias("seed"), "site"), "seeds")
+    firsts = stages.write(start.join(steps.read(), "site").select("seed", F.col("up").alias("first"), "passable").distinct(), "firsts")
+    closures = _closures(stages, firsts, steps)
+    reached = (firsts.select("seed", "first").join(closures, "first")
+               .select("seed", "site", (F.col("depth") + 1).alias("depth"))
+               .union(start.select("seed", "site", F.lit(0))))
+    shortest = reached.groupBy("seed", "site").agg(F.min("depth").alias("depth"))
+    result = stages.write(
+        shortest.join(sites, "site").select("seed", "identifiant", "No_Type_Sitou", "depth"), "walk")
+    steps.drop()
+    stages.drop("sites", "seeds", "firsts", "closures")
+    return result
 
 
 def origin_rank(
@@ -115,33 +114,39 @@ def enrich_origins(
     return with_office.select("DT", "rang", "site_origine", "nom_site_origine", "rejet", "nom_rejet")
 
 
-def _write_new(
-    stages: Stages, depth: int, known: DataFrame, reached: DataFrame, stop_types: list[str]
-) -> tuple[DataFrame, bool]:
-    """Write the reached sites that are not known yet; tell whether any can be passed.
+def _key(*columns: str) -> Column:
+    """The columns as one key that is never missing."""
+    return F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in columns])
+
+
+def _steps(sites: DataFrame, links: DataFrame) -> DataFrame:
+    """Links between sites, from downstream to upstream; links that miss a site at an end are left out."""
+    pairs = links.select(F.col("No_Sitou").alias("down"), F.col("No_Sitou_Am").alias("up_id")).distinct()
+    below = null_safe_join(pairs, sites.select(F.col("identifiant").alias("down_id"), "site"), [("down", "down_id")])
+    above = sites.select(F.col("identifiant").alias("above_id"), F.col("site").alias("up"), "passable")
+    return null_safe_join(below, above, [("up_id", "above_id")]).select("site", "up", "passable")
 
-    One aggregate removes repeats and known sites together, combined before its
-    shuffle. The count of passable sites comes with the write, without another job.
+
+def _closures(stages: Stages, firsts: DataFrame, steps: KeyedTable) -> DataFrame:
+    """``first, site, depth``: what is upstream of each first site, itself included at depth 0.
+
+    Seeds share what lies above them, so the walk starts once from each site that is
+    directly upstream of any seed. A pass joins the sites found last with their links and
+    drops those that the closure has already: both tables lie by the keys of these joins,
+    so a pass moves its new rows only.
     """
-    keys = ["seed", "identifiant", "No_Type_Sitou"]
-    new = (known.select(*keys, F.lit(True).alias("known"))
-           .union(reached.select(*keys, F.lit(False)))
-           .groupBy(*keys).agg(F.bool_or("known").alias("known"))
-           .where(~F.col("known"))
-           .select(*keys, F.lit(depth).alias("depth")))
-    passable = Observation()
-    written = stages.write(
-        new.observe(passable, F.count_if(_passable(stop_types)).alias("n")), f"pass-{depth}")
-    return written, passable.get["n"] > 0
-
-
-def _passable(stop_types: list[str]):
-    # A missing type is no stop type.
-    return ~F.coalesce(F.col("No_Type_Sitou").isin(*stop_types), F.lit(False))
-
-
-def _all_passes(found: list[DataFrame]) -> DataFrame:
-    result = found[0]
-    for frame in found[1:]:
-        result = result.union(frame)
-    return result
+    known = stages.keyed("closures", ["first", "site"], "first string, site string, passable boolean, depth int")
+    found = firsts.groupBy("first").agg(F.bool_or("passable").alias("passable")).select(
+        "first", F.col("first").alias("site"), "passable")
+    depth = 0
+    while True:
+        # The count of sites to pass comes with the write, without another job.
+        passable = Observation()
+        known.add(found.withColumn("depth", F.lit(depth)).observe(passable, F.count_if("passable").alias("n")))
+        if passable.get["n"] == 0:
+            return known.close().drop("passable")
+        # Files of other passes are skipped by their range of depths.
+        frontier = known.read().where((F.col("depth") == depth) & F.col("passable")).select("first", "site")
+        depth += 1
+        reached = frontier.join(steps.read(), "site").select("first", F.col("up").alias("site"), "passable").distinct()
+        found = reached.join(known.read().select("first", "site"), ["first", "site"], "left_anti")

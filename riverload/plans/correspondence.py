@@ -26,11 +26,12 @@ def correspondence_table(
 ) -> DataFrame:
     """The full correspondence table with counts and check mark.
 
-    The origins feed four pairings and the pairings feed four aggregates and
-    joins, so both are written once.
+    Nodes and links are used in every step, the origins feed four pairings and the
+    pairings four aggregates and joins, so all of them are written once.
     """
     stages = Stages(sites.sparkSession, "correspondence")
     nodes, offices = prepare_nodes(sites)
+    nodes = stages.write(nodes, "nodes")
     clean_links = stages.write(prepare_links(links), "links")
     origins = stages.write(origins_of_discharges(nodes, offices, clean_links, rank), "origins")
     paired = monitoring.correspondence(

@@ -7,6 +7,7 @@ Written files survive the loss of executors and give the planner true sizes.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,69 @@ class Stages:
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def keyed(self, name: str, keys: list[str], schema: str) -> KeyedTable:
+        """An empty table that grows, laid out by ``keys``."""
+        return KeyedTable(self, name, keys, schema)
+
     def drop(self, *names: str) -> None:
         """Delete tables that no live frame reads any more."""
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class KeyedTable:
+    """A table that grows by parts, bucketed by its keys.
+
+    A join on the keys moves the other side only. Parts that were added are files of
+    their own; every ``MERGE`` parts they are rewritten as one, so that a scan opens a
+    bounded number of files per bucket. The catalog knows the table under a name of its
+    own until :meth:`close`; the files are a stage like any other.
+    """
+
+    MERGE = 16
+
+    def __init__(self, stages: Stages, name: str, keys: list[str], schema: str):
+        self.stages, self.spark, self.name, self.keys, self.schema = stages, stages.spark, name, keys, schema
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.parts = self.version = 0
+
+    @property
+    def _label(self) -> str:
+        return f"{self.name}/{self.version}"
+
+    @property
+    def _table(self) -> str:
+        return "stage_" + re.sub(r"\W", "_", f"{self.stages.path.rsplit('/', 1)[-1]}_{self._label}")
+
+    def _append(self, df: DataFrame) -> None:
+        (df.write.mode("append").format("parquet").bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+         .option("path", f"{self.stages.path}/{self._label}").saveAsTable(self._table))
+
+    def read(self) -> DataFrame:
+        """All rows so far, by bucket where that serves a join."""
+        return self.spark.table(self._table)
+
+    def add(self, df: DataFrame) -> None:
+        """Append rows; now and then rewrite the parts as one."""
+        self._append(df)
+        self.parts += 1
+        if self.parts % self.MERGE == 0:
+            before, table = self._label, self._table
+            rows = self.read()
+            self.version += 1
+            self._append(rows.repartition(self.buckets, *self.keys))
+            self._forget(table, before)
+
+    def close(self) -> DataFrame:
+        """Take the table out of the catalog; its rows stay readable by the returned frame."""
+        self.spark.sql(f"DROP TABLE {self._table}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.stages.path}/{self._label}")
+
+    def drop(self) -> None:
+        """Delete the table and its files."""
+        self._forget(self._table, self.name)
+
+    def _forget(self, table: str, label: str) -> None:
+        self.spark.sql(f"DROP TABLE {table}")
+        self.stages.drop(label)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riverload.fixed_values import STOP_TYPES
 from riverload.operators import cleaning, monitoring, network
 from riverload.plans.correspondence import correspondence_table
+from riverload.stages import Stages
 
 NODE = "identifiant string, Nom_Sitou string, No_Type_Sitou string"
 LINK = "No_Sitou_Am string, No_Sitou string"
@@ -63,6 +64,52 @@ def test_long_way_is_walked_to_its_end(spark):
     assert got == {("n0", f"n{i}"): i for i in range(15)}
 
 
+def test_seeds_share_their_ways(spark):
+    """Closures are made once for each site directly upstream of a seed, whatever the number of seeds."""
+    types = {f"s{i}": "026" for i in range(60)} | {"a": "096", "b": "096", "stop": "029", "top": "012"}
+    links = [("a", f"s{i}") for i in range(60)] + [("stop", "s0"), ("b", "a"), ("top", "b"), ("top", "stop"), ("s1", "b"), ("s2", "s1")]
+    nodes, link = frames(spark, types, links)
+    stages = Stages(spark, "test")
+    sites = nodes.select("identifiant", "No_Type_Sitou", network._key("identifiant", "No_Type_Sitou").alias("site"),
+                         (~F.col("No_Type_Sitou").isin(*STOP_TYPES)).alias("passable"))
+    steps = stages.keyed("steps", ["site"], "site string, up string, passable boolean")
+    steps.add(network._steps(sites, link))
+    firsts = sites.where("No_Type_Sitou = '026'").select("site").join(steps.read(), "site").select(F.col("up").alias("first"), "passable")
+    closures = network._closures(stages, firsts, steps)
+    assert closures.select("first").distinct().count() == 3  # a, stop, s2
+    assert closures.groupBy("first").count().where("count = 1").count() == 1  # a stop type is not passed
+    got = {(r.seed, r.identifiant): r.depth for r in walk(spark, types, links).collect()}
+    assert got == plain_search(types, links)
+
+
+def test_a_pass_moves_its_new_rows_only(spark):
+    """Known rows and links lie by the keys of their joins: one exchange each, on the other side."""
+    table = Stages(spark, "test").keyed("known", ["first", "site"], "first string, site string, depth int")
+    for depth in range(table.MERGE + 2):
+        table.add(spark.range(40).select((F.col("id") % 4).cast("string").alias("first"), F.concat(F.lit(f"{depth}-"), "id").alias("site"), F.lit(depth).alias("depth")))
+    assert table.version == 1 and table.read().count() == 40 * (table.MERGE + 2)
+    new = spark.range(90).select((F.col("id") % 4).cast("string").alias("first"), F.concat(F.lit("3-"), "id").alias("site"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = new.join(table.read(), ["first", "site"], "left_anti")
+        assert joined.count() == 50
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1
+    scan = table.close()
+    assert len(scan.inputFiles()) < 40 * table.MERGE and scan.count() == 40 * (table.MERGE + 2)
+
+
+def test_chain_of_a_hundred_links(spark):
+    types = {"n0": "026"} | {f"n{i}": "096" for i in range(1, 101)}
+    nodes, link = frames(spark, types, [(f"n{i + 1}", f"n{i}") for i in range(100)])
+    result = network.upstream_walk(nodes, link, network.discharge_points(nodes))
+    assert {(r.seed, r.identifiant): r.depth for r in result.collect()} == {("n0", f"n{i}"): i for i in range(101)}
+    assert result._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_ranks(spark):
     types = {"s": "026", "near": "029", "a": "096", "far": "243"}
     w = walk(spark, types, [("near", "s"), ("a", "s"), ("far", "a")])

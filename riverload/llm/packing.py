@@ -69,6 +69,7 @@ class Encoder(dict):
     parts = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
     other_space = re.compile(rf"[^\S{_SPACE}]")
     other = re.compile(f"[^\0-{chr(_KNOWN)}]")
+    odd = re.compile(f"[\x1c-\x1f\x85\xa0{chr(_KNOWN + 1)}-\U0010ffff]")  # all that either of the two finds
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -88,11 +89,12 @@ class Encoder(dict):
         self.bytes_shown = single
 
     def ids(self, text: str) -> bytes:
-        if not self.usual or self.other_space.search(text) or any(t in text for t in self.special):
+        odd = self.odd.search(text)
+        if not self.usual or odd and self.other_space.search(text) or any(t in text for t in self.special):
             return self.encode(text)
         if len(self) >= REMEMBERED:
             self.clear()
-        cut = self.parts if self.other.search(text) else self.words
+        cut = self.parts if odd and self.other.search(text) else self.words
         return b"".join(map(self.__getitem__, cut.findall(text)))
 
     def __missing__(self, part: str) -> bytes:

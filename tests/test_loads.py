@@ -1,8 +1,11 @@
 """Hand-made load cases."""
 
 import datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from riverload.fixed_values import (
     LABEL_ESTIMATED, LABEL_MEASURED_NETWORK, LABEL_MEASURED_PLANT, LABEL_TO_ESTIMATE, LABEL_ZERO_FLOW,
@@ -127,3 +130,32 @@ def test_other_offices_results_stay(spark, tmp_path):
     for name in ("annual", "daily"):
         back = spark.read.parquet(str(tmp_path / name)).select("DT", "Annee", "kg")
         assert sorted(map(tuple, back.collect())) == [("D1", 2020, 4.0), ("D2", 2020, 2.0), ("D2", 2021, 3.0)]
+
+
+def test_files_of_a_folder_have_sorted_ranges_of_their_own(spark, tmp_path):
+    days = spark.range(4000).select(
+        F.lit("D1").alias("DT"), F.concat(F.lit("03"), F.lpad((F.col("id") % 2).cast("string"), 2, "0"), F.lit("x"), F.col("id") % 7).alias("Code_SANDRE"),
+        F.lit("A4").alias("Pt_SANDRE"), (F.col("id") % 3).cast("string").alias("Code_sandre_parametre"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7919 % 366).cast("int")).alias("Date_debut_prel"), F.lit(2020).alias("Annee"))
+    writers.write_daily_by_department(days, str(tmp_path / "d"))
+    keys = ["Code_SANDRE", "Pt_SANDRE", "Code_sandre_parametre", "Date_debut_prel"]
+    folders = sorted({str(f.parent) for f in (tmp_path / "d").rglob("*.parquet")})
+    assert len(folders) == 2
+    for folder in folders:
+        ranges = []
+        for file in Path(folder).glob("*.parquet"):
+            rows = [tuple(r) for r in pq.ParquetFile(file).read(columns=keys).to_pandas().itertuples(index=False)]
+            assert rows == sorted(rows)
+            ranges.append((rows[0], rows[-1]))
+        ranges.sort()
+        assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 4000
+
+
+def test_other_years_stay(spark, tmp_path):
+    frame = spark.createDataFrame([("D1", 2020, "s", "A4", "1", 2.0)], "DT string, Annee int, Code_SANDRE string, Pt_SANDRE string, Code_sandre_parametre string, kg double")
+    writers.write_annual(frame, str(tmp_path / "a"))
+    writers.write_annual(frame.withColumn("Annee", F.lit(2021)), str(tmp_path / "a"))
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 2
+    writers.write_plants_without_data(frame.select("Code_SANDRE"), str(tmp_path / "p"))
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverload.fixed_values import SIZE_CLASSES
+from riverload.fixed_values import RUN_PARAMETERS, SIZE_CLASSES
 from riverload.fixtures import with_views
 from riverload.operators import sites, spatial
 from riverload.operators.cleaning import recode_ordered
@@ -193,3 +193,33 @@ def written_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).select(parsed.alias("f")).select(
         "f.properties.identifiant", F.col("f.geometry.coordinates")[0].alias("X"),
         F.col("f.geometry.coordinates")[1].alias("Y"))
+
+
+# Features of all five layers: the rectangle and the triangle moved about, one office in mixed case.
+_LAYERS = """SELECT * FROM perimeter_edges
+UNION ALL SELECT 'DT', 'd1b', x1 + 90000, y1 + 20000, x2 + 90000, y2 + 20000 FROM perimeter_edges WHERE ID = 'U1'
+UNION ALL SELECT 'EPCI', 'E9', x1 + 140000, y1 + 140000, x2 + 140000, y2 + 140000 FROM perimeter_edges WHERE ID = 'U1'
+UNION ALL SELECT 'EPCI', 'E8', x1, y1, x2, y2 FROM perimeter_edges WHERE ID = 'U1'
+UNION ALL SELECT 'PERSONNALISE', 'own', x1 + 30000, y1 + 140000, x2 + 30000, y2 + 140000 FROM perimeter_edges WHERE ID = 'P1'"""
+_SHEETS = """SELECT * FROM (VALUES
+ ('1', 'TYPE_PERIMETRE', 'DT'), ('1', 'DT', 'D1B'), ('1', 'TAMPON', '1.5'), ('2', 'TYPE_PERIMETRE', 'EPCI'), ('2', 'PERIMETRE', 'E9'),
+ ('3', 'TYPE_PERIMETRE', 'UH'), ('3', 'PERIMETRE', 'U1'), ('3', 'TAMPON', '0.25'), ('4', 'TYPE_PERIMETRE', 'PERSONNALISE'), ('4', 'TAMPON', '2'),
+ ('5', 'TYPE_PERIMETRE', 'DEPARTEMENT'), ('5', 'PERIMETRE', 'P1'), ('5', 'TAMPON', '-4'), ('6', 'TYPE_PERIMETRE', 'EPCI'), ('6', 'PERIMETRE', 'none')
+) AS t(run, Variable, Valeur)"""
+_BY_SHEETS = _XY | {
+    "chosen": f"""SELECT e.layer || e.ID AS ID, x1, y1, x2, y2, CAST(r.radius AS DOUBLE) AS radius FROM ({_LAYERS}) e
+JOIN (VALUES ('DT', 'd1b', 1500), ('EPCI', 'E9', 0), ('UH', 'U1', 250), ('PERSONNALISE', 'own', 2000), ('DEPARTEMENT', 'P1', -4000)) r(layer, name, radius)
+ ON e.layer = r.layer AND e.ID = r.name""",
+    "nearest": _NEAREST, "by_feature": _FEATURES.replace("Y, ID,", "Y, ID, max(radius) AS radius,"),
+    "inside": """SELECT * FROM xy WHERE identifiant IN (SELECT identifiant FROM by_feature
+ WHERE CASE WHEN radius < 0 THEN crossed % 2 = 1 AND d2 >= radius * radius ELSE crossed % 2 = 1 OR d2 <= radius * radius END)""",
+}
+
+
+@registry.add(_sql("SELECT * FROM inside", _BY_SHEETS))
+def points_of_parameter_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points inside the perimeters that several parameter sheets name, each with its buffer."""
+    t = Perimeter(spark, sf_dir)
+    edges = spark.sql(_LAYERS.replace("perimeter_edges", "{edges}"), edges=t.perimeter_edges)
+    sheets = spark.sql(_SHEETS).groupBy("run").pivot("Variable", list(RUN_PARAMETERS)).agg(F.first("Valeur"))
+    return spatial.points_in_perimeter(t.xy(), spatial.perimeters_of_sheets(edges, sheets))

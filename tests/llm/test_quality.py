@@ -38,6 +38,29 @@ def test_held_out_accuracy(spark):
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_query_against_plain_forward_backward(spark):
+    """Every document alone, sums of logarithms over all lines."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    field = quality.fit_field(docs, quality.train_rows(labels))
+    got = {r.doc_id: r.score for r in contract.queries()["op6_quality"](spark, sf).collect()}
+    for r in docs.collect():
+        lines = [x for x in (r.text or "").split("\n") if x.strip()] or [""]
+        features, _ = quality._features([lines])
+        emission = np.clip(np.clip((features - field.mean) / field.scale, -quality.FAR, quality.FAR) @ field.weights, -30, 30)
+        local = np.stack([np.zeros(len(lines)), emission], axis=1)
+        forward, backward = local.copy(), np.zeros_like(local)
+        for i in range(1, len(lines)):
+            forward[i] += np.logaddexp(*(forward[i - 1][:, None] + field.pairs))
+        for i in range(len(lines) - 2, -1, -1):
+            backward[i] = np.logaddexp(*(field.pairs + local[i + 1] + backward[i + 1]).T)
+        both = forward + backward
+        good = np.exp(both[:, 1] - np.logaddexp(both[:, 0], both[:, 1]))
+        sizes = np.array([max(len(x), 1) for x in lines])
+        assert abs(got[r.doc_id] - good @ sizes / sizes.sum()) < 1e-6
+    assert len(got) == docs.count()
+
+
 def test_labels_that_teach_nothing(spark):
     docs = spark.createDataFrame([(1, "a", 1), (None, "b", 1), (2, None, 1)], "doc_id long, text string, quality int")
     none = spark.createDataFrame([], "doc_id long, quality int")

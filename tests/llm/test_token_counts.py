@@ -46,3 +46,13 @@ def test_column(spark):
     counter = Counter(ranked_vocabulary(PATH))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(((i, counter.text(t)) for i, t, _ in rows), key=str)
     assert df.limit(0).select(token_count("text", ranked_vocabulary, PATH)).count() == 0
+
+
+def test_query_against_tokenizers(spark):
+    import __spark_entry__ as contract
+
+    sf = "/root/testdata/sf0.001"
+    expected = reference(ranked_vocabulary(PATH))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: (r.n_tokens, r.n_chars) for r in contract.queries()["op10_token_counts"](spark, sf).collect()}
+    assert got == {i: (expected(t), len(t)) for i, t in texts.items()}

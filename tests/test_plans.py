@@ -98,3 +98,14 @@ def test_without_setting_stages_are_below_the_warehouse():
                 return Conf()
 
     assert stages.stage_root(Fake) == "hdfs:/warehouse/_stages"
+
+
+def test_days_are_never_gathered_for_a_broadcast(spark):
+    """Written stages compress well, so Spark takes the days for small; only the nine pollutants are sent to all tasks."""
+    measures = pollutant_loads.prepared_measures(view(spark, SF, "measure"), "STEP")
+    params = cleaning.parameter_dimension(view(spark, SF, "parameter_dim"))
+    days, conc = loads.flow_and_concentrations(measures, params)
+    measured = loads.measured_load(days, conc, params, "x")
+    for text in (plan(measured), plan(loads.impute_plant_load(loads.flagged_days(days, conc), loads.flow_weighted_ratio(measured), params))):
+        assert not re.search(r"BroadcastHashJoin \[coalesce\(Code_SANDRE", text)
+        assert re.search(r"SortMergeJoin \[coalesce\(Code_SANDRE", text)

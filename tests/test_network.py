@@ -158,3 +158,38 @@ def test_industry_pairs_multiply(spark):
     got = [tuple(r) for r in monitoring.industry_pairs(links, nodes).select(
         "rejet", "pt_AS", "nom_pt_AS").collect()]
     assert got == [("o1026", "a1224", "as1")] * 2
+
+
+def _fan(spark, discharges, points):
+    """Discharges of one plant, some of another one or a sewer too, and points of the plants, one of them shared and one twice."""
+    sites = [("p029", "plant", "029", "D"), ("q029", "other", "029", "D"), ("n243", "net", "243", "D"), ("m242", "sewer point", "242", "D"),
+             ("w001", "water", "001", "D")] + [(f"r{i}026", f"r{i}", "026", "D") for i in range(discharges)]
+    links = [link for i in range(discharges) for link in (
+        ("p029", f"r{i}026"), ("q029" if i % 3 == 0 else "ghost", f"r{i}026"), ("n243" if i % 4 == 0 else "ghost", f"r{i}026"),
+        ("m242" if i % 8 == 0 else "ghost", f"r{i}026"), (f"r{i}026", "w001"))]
+    rows = [("p029", f"s{k}", "A4") for k in range(points)] + [("p029", "s0", "A2"), ("q029", "s1", "A4"), ("q029", "only", "A5"), ("q029", "m242", "A5"), ("p029", "no", "A3")]
+    return (spark.createDataFrame(sites, SITE), spark.createDataFrame(links, LINK),
+            spark.createDataFrame(rows, "site_origine string, pt_AS string, nom_pt_AS string"))
+
+
+def test_counts_before_the_plant_pairing_are_those_of_the_table(spark):
+    from riverload.plans.correspondence import counted_origins, received_origins
+    sites, links, points = _fan(spark, 24, 5)
+    table = correspondence_table(sites, links, points).drop("a_verifier")
+    counted = [c for c in table.columns if c.startswith("nb_")]
+    plain = monitoring.correspondence_counts(table.drop(*counted)).select(*table.columns)
+    assert table.count() == 24 * 6 + 8 * 3 + 6
+    assert table.exceptAll(plain).count() == plain.exceptAll(table).count() == 0
+    assert monitoring.with_plant_points(received_origins(sites, links), points).count() == table.count()
+    assert {(r.rejet, r.nb_pt_AS_par_rejet) for r in counted_origins(sites, links, points).collect()} >= {("r1026", 5), ("r3026", 7), ("r0026", 7), ("r8026", 6), ("r4026", 6)}
+
+
+def test_plant_pairs_are_made_last(spark):
+    """Nothing is written or exchanged per pair: only the final join makes as many rows."""
+    sites, links, points = _fan(spark, 60, 50)
+    from riverload.plans.correspondence import counted_origins
+    counted = counted_origins(sites, links, points)
+    assert counted.count() == 60 + 20 + 15
+    text = correspondence_table(sites, links, points)._jdf.queryExecution().executedPlan().toString()
+    above = text[:text.index("SortMergeJoin")]
+    assert "Exchange" not in above and text.count("SortMergeJoin") == 1

@@ -193,3 +193,27 @@ def test_plant_pairs_are_made_last(spark):
     text = correspondence_table(sites, links, points)._jdf.queryExecution().executedPlan().toString()
     above = text[:text.index("SortMergeJoin")]
     assert "Exchange" not in above and text.count("SortMergeJoin") == 1
+
+
+def test_a_part_has_one_file_a_bucket(spark):
+    """However many tasks made its rows; and a table of few rows has few buckets."""
+    table = Stages(spark, "test").keyed("few", ["site"], "site string", rows=10)
+    table.add(spark.range(0, 4000, 1, 40).select(F.col("id").cast("string").alias("site")))
+    assert len(table.read().inputFiles()) == table.buckets
+    assert table.read().count() == 4000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        buckets = [Stages(spark, "test").keyed("t", ["site"], "site string", rows).buckets for rows in (10, 5_000_000, 10**9, None)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert buckets == [spark.sparkContext.defaultParallelism, 100, 200, 200]
+
+
+def test_a_key_says_what_it_is(spark):
+    texts = [None, "", "a", "=", "a:b", "12:c", "\x1f=d", "é=\U0001f600"]
+    rows = [(a, b) for a in texts for b in texts]
+    df = spark.createDataFrame(rows, "a string, b string").withColumn("site", network._key("a", "b"))
+    assert df.where("site IS NULL").count() == 0 and df.select("site").distinct().count() == len(rows)
+    back = df.select("a", "b", *[c.alias(f"{n}2") for c, n in zip(network._unkey("a", "b"), "ab")]).collect()
+    assert [(r.a2, r.b2) for r in back] == [(r.a, r.b) for r in back]

@@ -195,6 +195,16 @@ def test_plant_pairs_are_made_last(spark):
     assert "Exchange" not in above and text.count("SortMergeJoin") == 1
 
 
+def test_pairs_of_one_plant_are_made_by_many_tasks(spark):
+    """Few bytes go into the plant pairing and many rows come out: its size must not make it one task."""
+    table = spark.createDataFrame([("D", 1, "P1029", "n", f"O{i}026", "r") for i in range(200)],
+                                  "DT string, rang long, site_origine string, nom_site_origine string, rejet string, nom_rejet string")
+    points = spark.createDataFrame([("P1029", f"S{i}", "A2") for i in range(50)], "site_origine string, pt_AS string, nom_pt_AS string")
+    found = monitoring.monitoring_plant(table, points).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in found) == 10_000
+    assert len(found) > 2 and max(r["count"] for r in found) < 6_000
+
+
 def test_a_part_has_one_file_a_bucket(spark):
     """However many tasks made its rows; and a table of few rows has few buckets."""
     table = Stages(spark, "test").keyed("few", ["site"], "site string", rows=10)

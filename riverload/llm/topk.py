@@ -178,6 +178,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, scale: float = 256.
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
                                                      names=["q", "place", "query_id", "vec_id", "score"])
 
-    found = left.join(right, ["q", "c"]).mapInArrow(search, schema)
+    # Spark takes the exploded blocks for as many bytes as their file, so both sides are always exchanged.
+    found = left.join(right.hint("merge"), ["q", "c"]).mapInArrow(search, schema)
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q", "place").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -71,3 +71,10 @@ def test_starting_from_a_known_score():
         for known in (expected[4], expected[2], expected[40]):
             ids, scores, _ = lists.top(7, queries[0], 5, -known[0])
             assert list(zip([-s for s in scores], ids)) == [x for x in expected if x[0] <= known[0]][:5]
+
+
+def test_blocks_are_never_gathered_for_a_broadcast(spark):
+    """The files of the blocks are small, their copies for all blocks of the other side are not."""
+    df = spark.createDataFrame([(i, [1.0 * i], "clash") for i in range(60)], SCHEMA)
+    text = top_k(df, df.where("vec_id % 5 = 0"), 3, query_rows=4, candidate_rows=5)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in text and "SortMergeJoin" in text

@@ -83,7 +83,8 @@ def links(prints: DataFrame, bits: int = 3, segments: int = 2) -> DataFrame:
                       (F.col("near.mask") == 0).alias("same")))
     table = cut.select(F.col("print").alias("b"), "segment", "value")
     close = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits) & (~F.col("same") | (F.col("a") < F.col("b")))
-    return (asking.join(table, (asking["segment"] == table["segment"]) & (asking["value"] == table["value"]) & close)
+    # Spark takes the exploded rows for as many bytes as their fingerprints' file, so both sides are always exchanged.
+    return (asking.join(table.hint("merge"), (asking["segment"] == table["segment"]) & (asking["value"] == table["value"]) & close)
             .select("a", "b"))
 
 

@@ -79,3 +79,10 @@ def test_odd_rows(spark):
     got = sorted(((r.doc_id, r.component_id) for r in near_duplicates(df).collect()), key=str)
     assert got == sorted([(3, 1), (1, 1), (3, 1), (None, None), (5, 4), (4, 4), (9, 9), (None, 4)], key=str)
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def test_look_ups_are_never_gathered_for_a_broadcast(spark, tmp_path):
+    """The fingerprints' file is small, the look-ups made of it are many times as much."""
+    spark.range(2000).selectExpr("xxhash64(id) AS print").write.parquet(str(tmp_path / "prints"))
+    text = links(spark.read.parquet(str(tmp_path / "prints")))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in text and "SortMergeJoin" in text
